@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hhlens.operators import describe
+from hhlens.operators import describe, ordered, profile
 from hhlens.plans import households as hh
 from hhlens.plans import specs
 from hhlens.plans.common import rounded
@@ -63,3 +63,39 @@ def share_by_children(spark, sf):
 
 def share_by_size(spark, sf):
     return rounded(describe.fill_shares(hogares_full(spark, sf, "train"), "Nper", "Pobre", (0, 10)))
+
+
+# ---------------------------------------------------------------- profiling
+def null_counts(spark, sf):
+    return profile.null_counts(hogares_full(spark, sf, "train"))
+
+
+def iqr_outliers(spark, sf):
+    return profile.iqr_outliers(fx.personas(spark, sf), list(fx.PERSON_CODES))
+
+
+def iqr_outliers_lineitem(spark, sf):
+    return profile.iqr_outliers(fx.table(spark, sf, "lineitem"), list(fx.LINEITEM_NUMERIC))
+
+
+def iqr_outliers_households(spark, sf):
+    full = hogares_full(spark, sf, "train")
+    return profile.iqr_outliers(full, profile.numeric_columns(full, exclude=["id"]))
+
+
+def column_profile(spark, sf):
+    return rounded(profile.column_profile(fx.personas(spark, sf), list(fx.PERSON_CODES)))
+
+
+def correlation_pairs(spark, sf):
+    full = hogares_full(spark, sf, "train")
+    return rounded(profile.correlation_pairs(full, profile.numeric_columns(full, exclude=["id"])))
+
+
+def quartiles_lineitem(spark, sf):
+    return rounded(ordered.exact_quantiles(fx.table(spark, sf, "lineitem"),
+                                           list(fx.LINEITEM_NUMERIC), [0.25, 0.5, 0.75]))
+
+
+def fill_missing(spark, sf):
+    return rounded(hogares_full(spark, sf, "train").select("id", *specs.FILL_ZERO))

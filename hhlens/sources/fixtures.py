@@ -111,3 +111,10 @@ def hogares(spark: SparkSession, sf_dir: str, side: str = "train") -> DataFrame:
     text = HOGARES_TRAIN_SQL if side == "train" else HOGARES_TEST_SQL
     return spark.sql(text, orders=table(spark, sf_dir, "orders"),
                      customer=table(spark, sf_dir, "customer"))
+
+# Survey code columns of the persons view (the head-order columns are not survey data).
+PERSON_CODES = ("P6050", "P6020", "P6040", "P6090", "P6100", "P6210", "P6240", "Pet", "Oc", "Des",
+                "Ina", "P6800", "P6870", "P6585s1", "P6430", "P6920", "P6590", "P6600", "P7040",
+                "P7495", "P7505", "P7510s3")
+LINEITEM_NUMERIC = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                    "l_extendedprice", "l_discount", "l_tax")
