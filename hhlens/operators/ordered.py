@@ -44,9 +44,19 @@ def value_counts(long: DataFrame, parts: Sequence[str], value: str = "value") ->
 
 
 def prefix_counts(vc: DataFrame, parts: Sequence[str], value: str = "value",
-                  weight: str = "cnt", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Adds ``cum`` = running sum of ``weight`` over ascending ``value`` within each part
-    (inclusive) and ``total`` = the part's sum.  ``value`` must be unique per part."""
+                  weight="cnt", bucket_rows: int = BUCKET_ROWS,
+                  descending: bool = False) -> DataFrame:
+    """Running sums in value order within each part, computed bucket by bucket.
+
+    For every weight column ``w`` (``weight`` is a name or a list of names) adds ``cum_w``
+    = the inclusive running sum over ascending ``value`` (descending with ``descending``)
+    and ``total_w`` = the part's sum.  With a single weight the columns are called ``cum``
+    and ``total``.  ``value`` must be unique within a part (pre-aggregate first).
+    """
+    weights = [weight] if isinstance(weight, str) else list(weight)
+    single = isinstance(weight, str)
+    cum_name = {w: ("cum" if single else f"cum_{w}") for w in weights}
+    tot_name = {w: ("total" if single else f"total_{w}") for w in weights}
     stats = vc.groupBy(*parts).agg(F.count(F.lit(1)).alias("_nd"))
     max_nd = stats.agg(F.max("_nd")).first()[0] or 0
     n_buckets = max(1, math.ceil(max_nd / bucket_rows))
@@ -60,17 +70,23 @@ def prefix_counts(vc: DataFrame, parts: Sequence[str], value: str = "value",
         keyed = (vc.join(F.broadcast(bounds) if _small(bounds) else bounds, on=list(parts))
                  .withColumn("_b", F.size(F.filter("_bounds", lambda b: b <= F.col(value))))
                  .drop("_bounds"))
-    totals = keyed.groupBy(*parts, "_b").agg(F.sum(weight).alias("_bt"))
+        if descending:
+            keyed = keyed.withColumn("_b", F.lit(n_buckets - 1) - F.col("_b"))
+    totals = keyed.groupBy(*parts, "_b").agg(*[F.sum(w).alias(f"_bt_{w}") for w in weights])
     wb = Window.partitionBy(*parts).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*parts, "_b",
-                            F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_off"),
-                            F.sum("_bt").over(Window.partitionBy(*parts)).alias("total"))
-    w = Window.partitionBy(*parts, "_b").orderBy(value).rowsBetween(
+    wall = Window.partitionBy(*parts)
+    offsets = totals.select(
+        *parts, "_b",
+        *[F.coalesce(F.sum(f"_bt_{w}").over(wb), F.lit(0)).alias(f"_off_{w}") for w in weights],
+        *[F.sum(f"_bt_{w}").over(wall).alias(tot_name[w]) for w in weights])
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    w_run = Window.partitionBy(*parts, "_b").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     off_side = F.broadcast(offsets) if len(parts) * n_buckets < BROADCAST_ROWS else offsets
-    return (keyed.join(off_side, on=[*parts, "_b"])
-            .withColumn("cum", F.col("_off") + F.sum(weight).over(w))
-            .drop("_off", "_b"))
+    out = keyed.join(off_side, on=[*parts, "_b"])
+    for w in weights:
+        out = out.withColumn(cum_name[w], F.col(f"_off_{w}") + F.sum(w).over(w_run))
+    return out.drop("_b", *[f"_off_{w}" for w in weights])
 
 
 def _small(df: DataFrame) -> bool:

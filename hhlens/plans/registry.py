@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hhlens.operators import describe, ordered, profile
+from hhlens.functions.recode import threshold
+from hhlens.operators import describe, evaluate, models, ordered, profile, sampling
 from hhlens.plans import households as hh
 from hhlens.plans import specs
 from hhlens.plans.common import rounded
@@ -99,3 +100,73 @@ def quartiles_lineitem(spark, sf):
 
 def fill_missing(spark, sf):
     return rounded(hogares_full(spark, sf, "train").select("id", *specs.FILL_ZERO))
+
+
+# ---------------------------------------------------------------- evaluation (fixed scorers)
+# Two coefficient vectors used to check scoring and evaluation against SQL.
+SCORER_A = ({"Nper": 0.6, "P5130": 0.001}, -4.0)
+SCORER_B = ({"Nper": 0.5, "Lp": -0.0001}, -2.5)
+
+
+def _scored(spark, sf, scorer=SCORER_A, side="train"):
+    full = hogares_full(spark, sf, side)
+    coefs, b0 = scorer
+    s = full.select("id", "Pobre", models.linear_score(coefs, b0).alias("score"))
+    return s.withColumn("pred", threshold("score", specs.THRESHOLD))
+
+
+def linear_score(spark, sf):
+    return rounded(_scored(spark, sf).select("id", "Pobre", "score"))
+
+
+def threshold_predictions(spark, sf):
+    return rounded(_scored(spark, sf))
+
+
+def confusion(spark, sf):
+    return evaluate.confusion(_scored(spark, sf), "pred", "Pobre", 1)
+
+
+def binary_metrics(spark, sf):
+    return rounded(evaluate.binary_metrics(_scored(spark, sf), "pred", "Pobre", 1))
+
+
+def roc_curve(spark, sf):
+    return rounded(evaluate.roc_curve(_scored(spark, sf), "score", "Pobre", 1))
+
+
+def auc(spark, sf):
+    return rounded(evaluate.auc(_scored(spark, sf), "score", "Pobre", 1))
+
+
+def metrics_by_fold(spark, sf):
+    s = sampling.kfold(_scored(spark, sf), "Pobre", specs.FOREST_FOLDS, specs.SEED)
+    return rounded(evaluate.five_stats(s, "score", "pred", "Pobre", 1, groups=["fold"]))
+
+
+def model_comparison(spark, sf):
+    a = evaluate.binary_metrics(_scored(spark, sf, SCORER_A), "pred", "Pobre", 1)
+    b = evaluate.binary_metrics(_scored(spark, sf, SCORER_B), "pred", "Pobre", 1)
+    extra = {("reported", "Kaggle"): specs.EXTERNAL_SCORE}
+    return rounded(evaluate.comparison_table({"scorer_a": a, "scorer_b": b}, extra))
+
+
+# ---------------------------------------------------------------- sampling
+def stratified_split(spark, sf):
+    h = fx.hogares(spark, sf, "train").select("id", "Pobre")
+    return sampling.partition_split(h, "Pobre", specs.TRAIN_SHARE, specs.SEED)
+
+
+def random_split(spark, sf):
+    h = fx.hogares(spark, sf, "train").select("id", "Pobre")
+    return sampling.partition_split(h, "Pobre", specs.TRAIN_SHARE, specs.SEED, stratify=False)
+
+
+def kfold(spark, sf):
+    h = fx.hogares(spark, sf, "train").select("id", "Pobre")
+    return sampling.kfold(h, "Pobre", specs.LINEAR_FOLDS, specs.SEED)
+
+
+def class_weights(spark, sf):
+    h = fx.hogares(spark, sf, "train").select("id", "Pobre")
+    return rounded(sampling.class_weights(h, "Pobre", fixed={1: 0.79, 0: 0.21}))
