@@ -93,3 +93,34 @@ def decode(x, mapping: Mapping, default=None) -> Column:
 def threshold(p, t: float = 0.5) -> Column:
     """``ifelse(p > t, 1, 0)``: strictly greater, a score equal to ``t`` is class 0."""
     return (_c(p) > F.lit(float(t))).cast("int")
+
+
+def dummy_levels(df, cols, max_levels: int = 1000) -> dict:
+    """Known (non-NULL) levels of each code column, sorted, from ONE aggregate over the
+    unpivoted columns.  The result is bounded by ``max_levels`` per column (a code with
+    more levels is not a factor and raises)."""
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
+        [], list(cols), "variable", "level").where(F.col("level").isNotNull())
+    rows = long.groupBy("variable").agg(F.collect_set("level").alias("levels"),
+                                        F.count_distinct("level").alias("k")).collect()
+    out = {}
+    for r in rows:
+        if r["k"] > max_levels:
+            raise ValueError(f"{r['variable']} has {r['k']} levels (> {max_levels})")
+        dtype = dict(df.dtypes)[r["variable"]]
+        conv = int if dtype in ("int", "bigint", "smallint", "tinyint") else \
+            (float if dtype in ("double", "float") else str)
+        out[r["variable"]] = sorted(conv(v) for v in r["levels"])
+    return {c: out.get(c, []) for c in cols}
+
+
+def add_dummies(df, levels: dict, sep: str = "_"):
+    """``dummy_cols(remove_first_dummy=FALSE, ignore_na=TRUE, remove_selected_columns=FALSE)``
+    with the given levels (take them from the training side so both sides share columns).
+    A level absent from this table still gets its column, all 0 on known codes."""
+    new = []
+    for c, lv in levels.items():
+        for v in lv:
+            name = f"{c}{sep}{v}".replace(".", "_").replace("-", "m")
+            new.append(dummy(c, v).alias(name))
+    return df.select("*", *new)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hhlens.functions.recode import threshold
+from hhlens.functions.recode import add_dummies, dummy_levels, threshold
 from hhlens.operators import describe, evaluate, models, ordered, profile, sampling
 from hhlens.plans import households as hh
 from hhlens.plans import specs
@@ -170,3 +170,35 @@ def kfold(spark, sf):
 def class_weights(spark, sf):
     h = fx.hogares(spark, sf, "train").select("id", "Pobre")
     return rounded(sampling.class_weights(h, "Pobre", fixed={1: 0.79, 0: 0.21}))
+
+
+# ---------------------------------------------------------------- recodes and densities
+def dummies(spark, sf):
+    p = fx.personas(spark, sf).select("id", *specs.FACTOR_COLUMNS)
+    levels = dummy_levels(p, specs.FACTOR_COLUMNS)
+    return add_dummies(p, levels)
+
+
+def _density(df, x, groups=(), log10=False):
+    out = describe.kde(df, x, groups, 512, log10)
+    return rounded(out, skip=["density"]).withColumn("density", F.round("density", 12))
+
+
+def income_density(spark, sf):
+    h = fx.hogares(spark, sf, "train").where(F.col("Pobre") == 0)
+    return _density(h, "Ingpcug")
+
+
+def income_density_total_poor(spark, sf):
+    h = fx.hogares(spark, sf, "train").where(F.col("Pobre") == 1)
+    return _density(h, "Ingtotug")
+
+
+def income_density_log10(spark, sf):
+    h = fx.hogares(spark, sf, "train").where(F.col("Pobre") == 0)
+    return _density(h, "Ingpcug", log10=True)
+
+
+def income_density_log10_by_class(spark, sf):
+    h = fx.hogares(spark, sf, "train").where(F.col("Pobre").isin(0, 1))
+    return _density(h, "Ingpcug", ["Pobre"], log10=True)
