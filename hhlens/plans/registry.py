@@ -12,6 +12,7 @@ from hhlens.plans import households as hh
 from hhlens.plans import specs
 from hhlens.plans.common import rounded
 from hhlens.sources import fixtures as fx
+from hhlens.sources import io
 
 
 def hogares_full(spark: SparkSession, sf: str, side: str = "train") -> DataFrame:
@@ -202,3 +203,173 @@ def income_density_log10(spark, sf):
 def income_density_log10_by_class(spark, sf):
     h = fx.hogares(spark, sf, "train").where(F.col("Pobre").isin(0, 1))
     return _density(h, "Ingpcug", ["Pobre"], log10=True)
+
+
+# ---------------------------------------------------------------- models
+# Penalties at which the fitted linear models are checked (KKT).
+KKT_FITS = {"logit_kkt": (0.0, 0.0), "ridge_kkt": (0.01, 0.0), "lasso_kkt": (0.01, 1.0),
+            "elastic_net_kkt": (0.01, 0.5)}
+
+
+def model_input(spark, sf, features=tuple(specs.LINEAR_PREDICTORS), side="train"):
+    """Household table restricted to rows with every predictor known (listwise deletion)."""
+    full = hogares_full(spark, sf, side)
+    return models.complete_cases(full, list(features))
+
+
+def _kkt(name):
+    def q(spark, sf):
+        reg, alpha = KKT_FITS[name]
+        X = specs.LINEAR_PREDICTORS
+        d = model_input(spark, sf).cache()
+        m = models.fit_logistic(d, X, specs.LABEL, reg, alpha)
+        return models.kkt_check(d, m, X, specs.LABEL, reg, alpha).select("term", "ok")
+    q.__name__ = name
+    return q
+
+
+logit_kkt = _kkt("logit_kkt")
+ridge_kkt = _kkt("ridge_kkt")
+lasso_kkt = _kkt("lasso_kkt")
+elastic_net_kkt = _kkt("elastic_net_kkt")
+
+
+def lambda_max(spark, sf):
+    d = model_input(spark, sf)
+    alphas = [a for a in specs.ENET_ALPHAS if a > 0]
+    return rounded(models.lambda_max(d, specs.LINEAR_PREDICTORS, specs.LABEL, alphas))
+
+
+def null_gradients(spark, sf):
+    return rounded(models.null_gradients(model_input(spark, sf), specs.LINEAR_PREDICTORS, specs.LABEL))
+
+
+def scaled_features(spark, sf):
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    X = specs.LINEAR_PREDICTORS
+    d = model_input(spark, sf)
+    v = VectorAssembler(inputCols=X, outputCol="_raw").transform(d)
+    sc = StandardScaler(inputCol="_raw", outputCol="_z", withMean=True, withStd=True).fit(v)
+    z = sc.transform(v).withColumn("_a", vector_to_array("_z"))
+    return rounded(z.select("id", *[F.col("_a")[i].alias(c) for i, c in enumerate(X)]))
+
+
+def pruned_grid(spark, sf):
+    """Elastic-net grid with the candidates that need no fit (lambda >= lambda_max)."""
+    d = model_input(spark, sf)
+    lm = models.lambda_max(d, specs.LINEAR_PREDICTORS, specs.LABEL,
+                           [a for a in specs.ENET_ALPHAS if a > 0])
+    grid = spark.createDataFrame([(float(a), float(l)) for a in specs.ENET_ALPHAS
+                                  for l in specs.ENET_LAMBDAS], "alpha double, reg double")
+    g = grid.join(F.broadcast(lm), on="alpha", how="left")
+    return rounded(g.withColumn("null_model", F.coalesce(F.col("reg") >= F.col("lambda_max"), F.lit(False)))
+                   .select("alpha", "reg", "null_model"))
+
+
+def output_name(spark, sf):
+    """File name of a prediction file from a parameter row (``.`` -> ``_``, 4 decimals)."""
+    lm = models.lambda_max(model_input(spark, sf), specs.LINEAR_PREDICTORS, specs.LABEL,
+                           [a for a in specs.ENET_ALPHAS if a > 0])
+    return lm.select("alpha", io.output_name("Ridge", F.col("lambda_max"), F.col("alpha")).alias("name"))
+
+
+def coefficients(spark, sf):
+    d = model_input(spark, sf).cache()
+    m = models.fit_logistic(d, specs.LINEAR_PREDICTORS, specs.LABEL, 0.01, 0.0)
+    return models.coefficients(m, specs.LINEAR_PREDICTORS, spark)
+
+
+def glm_summary(spark, sf):
+    return models.glm_summary(model_input(spark, sf), specs.LINEAR_PREDICTORS, specs.LABEL)
+
+
+# A small tuning run checked by invariants (candidates x folds).
+TUNE_LAMBDAS = [0.0, 0.001, 0.01, 0.05, 0.1, 0.5, 1.0, 5.0]
+
+
+def _tuning(spark, sf):
+    X = specs.LINEAR_PREDICTORS
+    d = sampling.kfold(model_input(spark, sf), specs.LABEL, 5, specs.SEED)
+    cands = models.expand_grid(alpha=[1.0], reg=TUNE_LAMBDAS)
+    fit = lambda train, alpha, reg: models.fit_logistic(train, X, specs.LABEL, reg, alpha)
+    cv = models.cross_validate(d, X, specs.LABEL, "fold", cands, fit,
+                               pruned=models.lambda_max_pruner(X, specs.LABEL))
+    return cv, cands
+
+
+def tuning_curve(spark, sf):
+    cv, cands = _tuning(spark, sf)
+    return rounded(models.tuning_results(cv, cands))
+
+
+def best_candidate(spark, sf):
+    cv, cands = _tuning(spark, sf)
+    res = models.tuning_results(cv, cands)
+    best = models.best_candidate(res)
+    return spark.createDataFrame([(float(best["alpha"]), float(best["reg"]), float(best["Accuracy"]))],
+                                 "alpha double, reg double, Accuracy double")
+
+
+def oof_metrics(spark, sf):
+    cv, cands = _tuning(spark, sf)
+    return rounded(evaluate.five_stats(cv.oof, "prob", "pred", specs.LABEL, 1, groups=["candidate"]))
+
+
+def _forest_split(spark, sf, features):
+    d = sampling.partition_split(model_input(spark, sf, features), specs.LABEL,
+                                 specs.TRAIN_SHARE, specs.SEED)
+    return d.where("is_train = 1").cache(), d.where("is_train = 0").cache()
+
+
+def forest_importance(spark, sf):
+    X = specs.FOREST_TRIAL_PREDICTORS
+    train, _ = _forest_split(spark, sf, X)
+    m = models.fit_forest(train, X, specs.LABEL, mtry=8, min_node_size=1,
+                          num_trees=specs.FOREST_TRIAL_TREES, seed=specs.SEED)
+    return rounded(models.importance_table(m, X, spark, top=20))
+
+
+def forest_holdout_metrics(spark, sf):
+    X = specs.FOREST_TRIAL_PREDICTORS
+    train, hold = _forest_split(spark, sf, X)
+    m = models.fit_forest(train, X, specs.LABEL, mtry=8, min_node_size=1,
+                          num_trees=specs.FOREST_TRIAL_TREES, seed=specs.SEED)
+    p = models.prob_of_positive(m.transform(hold.withColumn(specs.LABEL, F.col(specs.LABEL).cast("double"))))
+    p = p.withColumn("pred", F.col("prediction").cast("int")).withColumn(specs.LABEL, F.col(specs.LABEL).cast("int"))
+    met = evaluate.binary_metrics(p, "pred", specs.LABEL, 1)
+    a = evaluate.auc(p, "prob", specs.LABEL, 1)
+    return rounded(met.withColumn("_k", F.lit(1)).join(a.withColumn("_k", F.lit(1)), "_k").drop("_k"))
+
+
+# ---------------------------------------------------------------- sources and sinks
+def prediction_sink(spark, sf):
+    """Score the test households, write ``id,pobre`` CSV to shared storage, read it back."""
+    coefs, b0 = SCORER_A
+    test = hogares_full(spark, sf, "test")
+    pred = test.select("id", threshold(models.linear_score(coefs, b0), specs.THRESHOLD).alias("pobre"))
+    path = io.write_predictions(pred, io.scratch(spark, "predictions"))
+    return io.read_predictions(spark, path)
+
+
+def csv_scan(spark, sf):
+    """CSV round trip of the test households with an explicit schema."""
+    h = fx.hogares(spark, sf, "test")
+    path = io.scratch(spark, "hogares_csv")
+    h.write.option("header", True).csv(path)
+    schema = ", ".join(f"{n} {t}" for n, t in h.dtypes)
+    return rounded(io.read_csv(spark, path, schema))
+
+
+def store_roundtrip(spark, sf):
+    """Parquet store of the training household table (``saveRDS``/``readRDS``)."""
+    path = io.write_store(hogares_full(spark, sf, "train"), io.scratch(spark, "hogares_full"))
+    return rounded(io.read_store(spark, path))
+
+
+def preview_predictions(spark, sf):
+    coefs, b0 = SCORER_A
+    test = hogares_full(spark, sf, "test")
+    pred = test.select("id", threshold(models.linear_score(coefs, b0), specs.THRESHOLD).alias("pobre"))
+    return io.preview(pred)

@@ -42,3 +42,7 @@ INCOME_DENSITY = density_sql("Ingpcug", "Pobre = 0")
 INCOME_DENSITY_TOTAL_POOR = density_sql("Ingtotug", "Pobre = 1")
 INCOME_DENSITY_LOG10 = density_sql("Ingpcug", "Pobre = 0", log10=True)
 INCOME_DENSITY_LOG10_BY_CLASS = density_sql("Ingpcug", "Pobre IN (0, 1)", group="Pobre", log10=True)
+
+CSV_SCAN = cte("hogares_test") + """
+SELECT id, Depto, Nper, round(Lp, 6) AS Lp, P5000, P5010, P5090, round(P5100, 6) AS P5100,
+       round(P5130, 6) AS P5130, round(P5140, 6) AS P5140 FROM hogares_test"""
