@@ -232,7 +232,26 @@ class CVResult:
         self.oof, self.alias, self.base, self.n_fits = oof, alias, base, n_fits
 
     def release(self):
-        self.base.unpersist()
+        self.base.unpersist()   # checkpoint files are cleaned with the checkpoint folder
+
+
+def model_score_column(model: PipelineModel) -> Column | None:
+    """Class-1 probability of a fitted assembler -> scaler -> logistic pipeline as ONE
+    Column over the raw predictor columns (so many candidates score in one projection);
+    None for other pipelines."""
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    st = model.stages
+    if not (len(st) == 3 and isinstance(st[-1], LogisticRegressionModel)):
+        return None
+    feats = st[0].getInputCols()
+    mean, std = scaler_stats(model)
+    lr = st[-1]
+    z = F.lit(float(lr.intercept))
+    for f, m, sd, b in zip(feats, mean, std, lr.coefficients.toArray()):
+        if b != 0.0:
+            z = z + F.lit(float(b)) * ((F.col(f).cast("double") - F.lit(m)) / F.lit(sd if sd else 1.0))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold_col: str,
@@ -244,16 +263,18 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold_col:
     """k-fold tuning: every candidate is fitted on each fold's training part and scored on
     the held-out part.
 
-    The model input is persisted once; each fold's training part (optionally resampled,
-    e.g. SMOTE on the training rows only, never on the held-out rows) is persisted while
-    that fold's candidates are fitted on a bounded driver thread pool, so several Spark
-    jobs share the cluster.  ``pruned(train, cand)`` marks candidates known to give the
-    intercept-only model (penalty >= lambda_max); they share one constant prediction per
-    fold instead of a fit.  Predictions stay distributed (a union of lazy transforms)."""
+    The model input is checkpointed once into the shared checkpoint folder (lineage cut,
+    survives lost executors); each fold's training part (optionally resampled, e.g. SMOTE
+    on the training rows only, never on the held-out rows) is persisted while that fold's
+    candidates are fitted on a bounded driver thread pool, so several Spark jobs share the
+    cluster.  ``pruned(train, cand)`` marks candidates known to give the intercept-only
+    model (penalty >= lambda_max); they share one constant prediction per fold instead of
+    a fit.  Fitted logistic candidates of a fold are scored together in one projection."""
     from pyspark import StorageLevel
 
-    base = df.select(key, F.col(label).cast("int").alias(label), fold_col, *features)
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    from hhlens.session import cut_lineage
+
+    base = cut_lineage(df.select(key, F.col(label).cast("int").alias(label), fold_col, *features))
     folds = sorted(r[0] for r in base.select(fold_col).distinct().collect())
     parts, alias, n_fits = [], [], 0
     for f in folds:
@@ -262,31 +283,38 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold_col:
             train = resample(train, f)
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
         valid = base.where(F.col(fold_col) == f)
-        todo = []
-        any_pruned = False
+        todo, scores = [], []
         for i, cand in enumerate(candidates):
             if pruned is not None and pruned(train, cand):
                 alias.append((int(f), i, -1))
-                any_pruned = True
             else:
                 alias.append((int(f), i, i))
                 todo.append((i, cand))
-        if any_pruned:
+        if len(todo) < len(candidates):
             ybar = train.agg(F.avg(F.col(label).cast("double"))).first()[0]
-            parts.append(valid.select(F.lit(-1).alias("candidate"), F.lit(int(f)).alias("fold"), key,
-                                      label, F.lit(float(ybar)).alias("prob")))
+            scores.append((-1, F.lit(float(ybar)), None))
 
-        def run(i_cand, train=train, valid=valid, f=f):
+        def run(i_cand, train=train):
             i, cand = i_cand
             m = fit(train, **cand)
-            pr = prob_of_positive(m.transform(valid.withColumn(label, F.col(label).cast("double"))))
-            return pr.select(F.lit(i).alias("candidate"), F.lit(int(f)).alias("fold"), key,
-                             F.col(label).cast("int").alias(label), "prob")
+            return i, model_score_column(m), m
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-            parts.extend(ex.map(run, todo))
+            scores.extend(ex.map(run, todo))
         n_fits += len(todo)
         train.unpersist()
+        fold = F.lit(int(f)).alias("fold")
+        cols = [(i, c) for i, c, _ in scores if c is not None]
+        if cols:
+            arr = F.array(*[F.struct(F.lit(i).alias("candidate"), c.alias("prob")) for i, c in cols])
+            parts.append(valid.select(fold, key, label, F.explode(arr).alias("_c"))
+                         .select(F.col("_c.candidate").alias("candidate"), "fold", key, label,
+                                 F.col("_c.prob").alias("prob")))
+        for i, c, m in scores:
+            if c is None:    # not a linear pipeline: score with the model itself
+                pr = prob_of_positive(m.transform(valid.withColumn(label, F.col(label).cast("double"))))
+                parts.append(pr.select(F.lit(i).alias("candidate"), fold, key,
+                                       F.col(label).cast("int").alias(label), "prob"))
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)

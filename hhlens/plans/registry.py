@@ -289,13 +289,22 @@ def glm_summary(spark, sf):
 TUNE_LAMBDAS = [0.0, 0.001, 0.01, 0.05, 0.1, 0.5, 1.0, 5.0]
 
 
+_TUNING_MEMO: dict = {}
+
+
 def _tuning(spark, sf):
+    """One small lasso tuning run per (application, scale), shared by the three queries
+    that report on it."""
+    memo_key = (spark.sparkContext.applicationId, sf)
+    if memo_key in _TUNING_MEMO:
+        return _TUNING_MEMO[memo_key]
     X = specs.LINEAR_PREDICTORS
     d = sampling.kfold(model_input(spark, sf), specs.LABEL, 5, specs.SEED)
     cands = models.expand_grid(alpha=[1.0], reg=TUNE_LAMBDAS)
     fit = lambda train, alpha, reg: models.fit_logistic(train, X, specs.LABEL, reg, alpha)
     cv = models.cross_validate(d, X, specs.LABEL, "fold", cands, fit,
                                pruned=models.lambda_max_pruner(X, specs.LABEL))
+    _TUNING_MEMO[memo_key] = (cv, cands)
     return cv, cands
 
 
