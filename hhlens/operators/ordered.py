@@ -45,20 +45,30 @@ def value_counts(long: DataFrame, parts: Sequence[str], value: str = "value") ->
 
 def prefix_counts(vc: DataFrame, parts: Sequence[str], value: str = "value",
                   weight="cnt", bucket_rows: int = BUCKET_ROWS,
-                  descending: bool = False) -> DataFrame:
+                  descending: bool = False, max_nd: int | None = None,
+                  materialize: bool = True) -> DataFrame:
     """Running sums in value order within each part, computed bucket by bucket.
 
     For every weight column ``w`` (``weight`` is a name or a list of names) adds ``cum_w``
     = the inclusive running sum over ascending ``value`` (descending with ``descending``)
     and ``total_w`` = the part's sum.  With a single weight the columns are called ``cum``
     and ``total``.  ``value`` must be unique within a part (pre-aggregate first).
+
+    ``materialize`` checkpoints the input once (shared checkpoint folder) so the sizing
+    job and the final job do not both recompute it; ``max_nd`` (largest number of rows of
+    one part), when known, saves the sizing job.
     """
+    from hhlens.session import cut_lineage
+
+    if materialize:
+        vc = cut_lineage(vc)
     weights = [weight] if isinstance(weight, str) else list(weight)
     single = isinstance(weight, str)
     cum_name = {w: ("cum" if single else f"cum_{w}") for w in weights}
     tot_name = {w: ("total" if single else f"total_{w}") for w in weights}
-    stats = vc.groupBy(*parts).agg(F.count(F.lit(1)).alias("_nd"))
-    max_nd = stats.agg(F.max("_nd")).first()[0] or 0
+    if max_nd is None:
+        stats = vc.groupBy(*parts).agg(F.count(F.lit(1)).alias("_nd"))
+        max_nd = stats.agg(F.max("_nd")).first()[0] or 0
     n_buckets = max(1, math.ceil(max_nd / bucket_rows))
     if n_buckets == 1:
         keyed = vc.withColumn("_b", F.lit(0))
@@ -95,19 +105,28 @@ def _small(df: DataFrame) -> bool:
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     groups: Sequence[str] = (), bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(groups..., column, p, q, n): type-7 quantiles of every column (NULLs ignored)."""
+    """(groups..., variable, p, q, n): type-7 quantiles of every column (NULLs ignored).
+
+    Jobs: value counts (checkpointed), per-part sizes (one small collect: a row per
+    (group, column)), and the final selection.  The target ranks form a table of
+    parts x probs rows that is broadcast to the prefix table."""
+    from hhlens.session import cut_lineage
+
     parts = [*groups, "variable"]
     long = unpivot_long(df, cols, keep=groups)
-    pc = prefix_counts(value_counts(long, parts), parts, bucket_rows=bucket_rows)
+    vc = cut_lineage(value_counts(long, parts))
+    stats = vc.groupBy(*parts).agg(F.count(F.lit(1)).alias("_nd"), F.sum("cnt").alias("n"))
+    n_parts_row = stats.agg(F.count(F.lit(1)).alias("k"), F.max("_nd").alias("m")).first()
+    n_parts, max_nd = n_parts_row["k"], n_parts_row["m"] or 0
+    pc = prefix_counts(vc, parts, bucket_rows=bucket_rows, max_nd=max_nd, materialize=False)
     pc = pc.withColumn("_prev", F.col("cum") - F.col("cnt"))
-    totals = pc.select(*parts, "total").distinct()
     p_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (totals.select(*parts, F.col("total").alias("n"), F.explode(p_arr).alias("p"))
+    targets = (stats.select(*[F.col(c).alias(f"_t_{c}") for c in parts], "n",
+                            F.explode(p_arr).alias("p"))
                .withColumn("h", (F.col("n") - 1).cast("double") * F.col("p"))
                .withColumn("lo", F.floor("h").cast("bigint"))
                .withColumn("hi", F.least(F.col("lo") + 1, F.col("n") - 1)))
-    targets = targets.select(*[F.col(c).alias(f"_t_{c}") for c in parts], "n", "p", "h", "lo", "hi")
-    t_side = F.broadcast(targets) if _small(targets) else targets
+    t_side = F.broadcast(targets) if n_parts * len(probs) <= BROADCAST_ROWS else targets
     hit_lo = (F.col("_prev") <= F.col("lo")) & (F.col("lo") < F.col("cum"))
     hit_hi = (F.col("_prev") <= F.col("hi")) & (F.col("hi") < F.col("cum"))
     cond = [F.col(c) == F.col(f"_t_{c}") for c in parts]
