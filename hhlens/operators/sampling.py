@@ -9,6 +9,7 @@ so an un-partitioned ``row_number`` per class would sort it in one task).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -70,3 +71,52 @@ def class_weights(df: DataFrame, label: str, fixed: dict | None = None,
                 w.when(F.col(label) == F.lit(k), F.lit(float(v)))
         res = res.withColumn("w_fixed", w)
     return res
+
+
+def smote(df: DataFrame, label: str, features: Sequence[str], key: str = "id", minority=1,
+          k: int = 5, over_ratio: float = 1.0, seed=123,
+          bucket_rows: int | None = None) -> DataFrame:
+    """Synthetic minority rows (SMOTE), deterministic.
+
+    ``N = ceil(over_ratio * n_majority) - n_minority`` new rows (none if already balanced).
+    Row j = 1..N takes the minority row of rank ((j - 1) mod n_min) + 1 (ranks by the
+    portable hash), one of its k exact nearest minority neighbours chosen by
+    ``portable_hash(j, seed || '|nn') mod k`` (rank 1..k by distance, ties by key) and
+    ``u = portable_hash(j, seed || '|u') / 2^32``; every feature is x + u (x_nn - x).
+    Returns the synthetic rows (key = -j, label = minority); union them with ``df``."""
+    from hhlens.operators.neighbors import BUCKET_ROWS as KNN_ROWS
+    from hhlens.operators.neighbors import knn_exact
+
+    feats = list(features)
+    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_min = counts.get(minority, 0)
+    n_maj = max([v for c, v in counts.items() if c != minority], default=0)
+    n_new = max(0, math.ceil(over_ratio * n_maj) - n_min)
+    spark = df.sparkSession
+    out_schema = ", ".join([f"{key} bigint", f"{label} int"] + [f"{c} double" for c in feats])
+    if n_new == 0 or n_min < 2:
+        return spark.createDataFrame([], out_schema)
+    from hhlens.session import cut_lineage
+
+    # Checkpointed inputs keep the plans below free of the upstream NOT NULL constraints,
+    # whose inference over the aliased feature columns would otherwise explode.
+    mino = cut_lineage(df.where(F.col(label) == F.lit(minority)).select(key, *feats))
+    nn = cut_lineage(knn_exact(mino, key, feats, k, bucket_rows or KNN_ROWS))
+    ranked = cut_lineage(rank_within(mino, [], key, seed).select(key, "rank", *feats))
+    reps = math.ceil(n_new / n_min)
+    # copies of each base row: j = c * n_min + rank, c = 0..reps-1, j <= n_new
+    jobs = (ranked.select(key, "rank", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("_c"))
+            .withColumn("j", F.col("_c") * F.lit(n_min) + F.col("rank"))
+            .where(F.col("j") <= F.lit(n_new)))
+    jobs = (jobs.withColumn("nn_rank", (portable_hash("j", f"{seed}|nn") % F.lit(k) + 1).cast("int"))
+            .withColumn("u", portable_hash("j", f"{seed}|u").cast("double") / F.lit(4294967296.0)))
+    n_avail = nn.groupBy(key).agg(F.max("nn_rank").alias("_kmax"))
+    jobs = (jobs.join(n_avail, on=key)
+            .withColumn("nn_rank", ((F.col("nn_rank") - 1) % F.col("_kmax") + 1).cast("int")))
+    pick = jobs.join(nn.select(key, "nn_rank", "nn_key"), on=[key, "nn_rank"])
+    base = ranked.select(key, *[F.col(c).alias(f"_x_{c}") for c in feats])
+    nbr = ranked.select(F.col(key).alias("nn_key"), *[F.col(c).alias(f"_y_{c}") for c in feats])
+    syn = pick.join(base, on=key).join(nbr, on="nn_key")
+    return syn.select((-F.col("j")).cast("bigint").alias(key), F.lit(minority).cast("int").alias(label),
+                      *[(F.col(f"_x_{c}") + F.col("u") * (F.col(f"_y_{c}") - F.col(f"_x_{c}"))).alias(c)
+                        for c in feats])

@@ -397,3 +397,20 @@ def preview_predictions(spark, sf):
     test = hogares_full(spark, sf, "test")
     pred = test.select("id", threshold(models.linear_score(coefs, b0), specs.THRESHOLD).alias("pobre"))
     return io.preview(pred)
+
+
+# ---------------------------------------------------------------- oversampling
+def smote_exact(spark, sf):
+    """SMOTE rows that balance the training households (final forest predictors)."""
+    X = specs.FOREST_FINAL_PREDICTORS
+    d = model_input(spark, sf, tuple(X)).select("id", specs.LABEL, *X)
+    return rounded(sampling.smote(d, specs.LABEL, X, "id", 1, k=5, seed=specs.SEED))
+
+
+def knn_minority(spark, sf):
+    """Exact 5 nearest minority neighbours of every minority household."""
+    from hhlens.operators.neighbors import knn_exact
+
+    X = specs.FOREST_FINAL_PREDICTORS
+    d = model_input(spark, sf, tuple(X)).where(F.col(specs.LABEL) == 1).select("id", *X)
+    return knn_exact(d, "id", X, 5).select("id", "nn_key", "nn_rank")
