@@ -98,11 +98,12 @@ def smote(df: DataFrame, label: str, features: Sequence[str], key: str = "id", m
         return spark.createDataFrame([], out_schema)
     from hhlens.session import cut_lineage
 
-    # Checkpointed inputs keep the plans below free of the upstream NOT NULL constraints,
-    # whose inference over the aliased feature columns would otherwise explode.
     mino = cut_lineage(df.where(F.col(label) == F.lit(minority)).select(key, *feats))
     nn = cut_lineage(knn_exact(mino, key, feats, k, bucket_rows or KNN_ROWS))
-    ranked = cut_lineage(rank_within(mino, [], key, seed).select(key, "rank", *feats))
+    # Features travel as ONE array column through the joins below: aliasing every feature
+    # on both sides would multiply the NOT NULL constraints Catalyst infers over them.
+    vec = mino.select(key, F.array(*[F.col(c) for c in feats]).alias("_v"))
+    ranked = cut_lineage(rank_within(vec, [], key, seed).select(key, "rank", "_v"))
     reps = math.ceil(n_new / n_min)
     # copies of each base row: j = c * n_min + rank, c = 0..reps-1, j <= n_new
     jobs = (ranked.select(key, "rank", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("_c"))
@@ -114,9 +115,9 @@ def smote(df: DataFrame, label: str, features: Sequence[str], key: str = "id", m
     jobs = (jobs.join(n_avail, on=key)
             .withColumn("nn_rank", ((F.col("nn_rank") - 1) % F.col("_kmax") + 1).cast("int")))
     pick = jobs.join(nn.select(key, "nn_rank", "nn_key"), on=[key, "nn_rank"])
-    base = ranked.select(key, *[F.col(c).alias(f"_x_{c}") for c in feats])
-    nbr = ranked.select(F.col(key).alias("nn_key"), *[F.col(c).alias(f"_y_{c}") for c in feats])
+    base = ranked.select(key, F.col("_v").alias("_xv"))
+    nbr = ranked.select(F.col(key).alias("nn_key"), F.col("_v").alias("_yv"))
     syn = pick.join(base, on=key).join(nbr, on="nn_key")
+    x, y = F.col("_xv"), F.col("_yv")
     return syn.select((-F.col("j")).cast("bigint").alias(key), F.lit(minority).cast("int").alias(label),
-                      *[(F.col(f"_x_{c}") + F.col("u") * (F.col(f"_y_{c}") - F.col(f"_x_{c}"))).alias(c)
-                        for c in feats])
+                      *[(x[i] + F.col("u") * (y[i] - x[i])).alias(c) for i, c in enumerate(feats)])
