@@ -77,8 +77,12 @@ def prefix_counts(vc: DataFrame, parts: Sequence[str], value: str = "value",
         accuracy = max(10_000, 20 * n_buckets)
         bounds = vc.groupBy(*parts).agg(
             F.percentile_approx(value, probs, accuracy).alias("_bounds"))
-        keyed = (vc.join(F.broadcast(bounds) if _small(bounds) else bounds, on=list(parts))
-                 .withColumn("_b", F.size(F.filter("_bounds", lambda b: b <= F.col(value))))
+        if parts:
+            keyed = vc.join(F.broadcast(bounds) if _small(bounds) else bounds, on=list(parts))
+        else:   # one global list of n_buckets - 1 cut points
+            cuts = bounds.first()["_bounds"]
+            keyed = vc.withColumn("_bounds", F.array(*[F.lit(c) for c in cuts]))
+        keyed = (keyed.withColumn("_b", F.size(F.filter("_bounds", lambda b: b <= F.col(value))))
                  .drop("_bounds"))
         if descending:
             keyed = keyed.withColumn("_b", F.lit(n_buckets - 1) - F.col("_b"))
