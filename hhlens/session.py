@@ -61,6 +61,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared folder (never a local checkpoint)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    """Cut the lineage by writing the frame as Parquet under the shared checkpoint folder
+    and scanning it back (never a local checkpoint).
+
+    A reloaded table also starts with no inherited constraints, which keeps Catalyst's
+    constraint inference small in plans that alias many NOT NULL columns, and its scan
+    prunes columns.  ``eager`` is kept for signature compatibility (always written now)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
