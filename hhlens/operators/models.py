@@ -50,6 +50,7 @@ from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql.types import DoubleType  # noqa: E402
 
 INTERCEPT = "(Intercept)"
+TUNING_TOL = 1e-7     # convergence tolerance of tuning fits (selection, not optimality checks)
 
 
 def complete_cases(df: DataFrame, cols: Sequence[str], missing: str = "drop") -> DataFrame:

@@ -83,7 +83,7 @@ def linear_models(train: DataFrame, test: DataFrame, out: str, folds: int = spec
     X, y = specs.LINEAR_PREDICTORS, specs.LABEL
     spark = train.sparkSession
     data = sampling.kfold(models.complete_cases(train, X), y, folds, specs.SEED)
-    fit = lambda tr, alpha, reg: models.fit_logistic(tr, X, y, reg, alpha)
+    fit = lambda tr, alpha, reg: models.fit_logistic(tr, X, y, reg, alpha, tol=models.TUNING_TOL)
     report, metrics, fitted = {}, {}, {}
     for name, cands in linear_grids(quick).items():
         cv = models.cross_validate(data, X, y, "fold", cands, fit,

@@ -316,7 +316,9 @@ def _tuning(spark, sf):
     X = specs.LINEAR_PREDICTORS
     d = sampling.kfold(model_input(spark, sf), specs.LABEL, 5, specs.SEED)
     cands = models.expand_grid(alpha=[1.0], reg=TUNE_LAMBDAS)
-    fit = lambda train, alpha, reg: models.fit_logistic(train, X, specs.LABEL, reg, alpha)
+    # Selection needs a glmnet-like tolerance, not the KKT-grade one of the *_kkt queries.
+    fit = lambda train, alpha, reg: models.fit_logistic(
+        train, X, specs.LABEL, reg, alpha, tol=models.TUNING_TOL)
     cv = models.cross_validate(d, X, specs.LABEL, "fold", cands, fit,
                                pruned=models.lambda_max_pruner(X, specs.LABEL))
     _TUNING_MEMO[memo_key] = (cv, cands)
