@@ -119,6 +119,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     parts = [*groups, "variable"]
     long = unpivot_long(df, cols, keep=groups)
     vc = cut_lineage(value_counts(long, parts))
+    return quantiles_from_counts(vc, parts, probs, bucket_rows)
+
+
+def quantiles_from_counts(vc: DataFrame, parts: Sequence[str], probs: Sequence[float],
+                          bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Type-7 quantiles from a (parts..., value, cnt) table of distinct values."""
+    parts = list(parts)
     stats = vc.groupBy(*parts).agg(F.count(F.lit(1)).alias("_nd"), F.sum("cnt").alias("n"))
     n_parts_row = stats.agg(F.count(F.lit(1)).alias("k"), F.max("_nd").alias("m")).first()
     n_parts, max_nd = n_parts_row["k"], n_parts_row["m"] or 0

@@ -69,47 +69,42 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None, bins: int =
     """``skim``-like summary per numeric column: missing count, complete rate, mean, sd,
     p0/p25/p50/p75/p100 and a ``bins``-bin fixed-width histogram between min and max.
 
-    Three passes: moments and range (one aggregate), quartiles (``exact_quantiles``),
-    histogram counts (one aggregate with the collected ranges)."""
+    One pass over the data: the columns are unpivoted and counted per distinct value (a
+    checkpointed table, duplicates collapsed map-side); moments, range, histogram and the
+    exact quartiles are all computed from that table."""
+    from hhlens.operators.ordered import quantiles_from_counts, unpivot_long, value_counts
+    from hhlens.session import cut_lineage
+
     cols = list(cols) if cols is not None else numeric_columns(df)
-    n_rows_col = F.count(F.lit(1))
-    aggs = [n_rows_col.alias("__n")]
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count_if(x.isNull()).alias(f"{c}__miss"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__sd"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max")]
-    m = df.agg(*aggs).first()
-    n = m["__n"]
-    hist_aggs = []
-    for c in cols:
-        lo, hi = m[f"{c}__min"], m[f"{c}__max"]
-        x = F.col(c).cast("double")
-        for i in range(bins):
-            if lo is None:
-                hist_aggs.append(F.lit(0).cast("bigint").alias(f"{c}__h{i}"))
-                continue
-            width = (hi - lo) / bins
-            if width == 0:
-                pred = (x == F.lit(lo)) if i == 0 else F.lit(False)
-            else:
-                b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
-                pred = b == F.lit(i)
-            hist_aggs.append(F.count_if(pred).alias(f"{c}__h{i}"))
-    h = df.agg(*hist_aggs).first() if hist_aggs else None
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
     spark = df.sparkSession
-    rows = []
-    for c in cols:
-        rows.append((c, int(m[f"{c}__miss"]), (n - m[f"{c}__miss"]) / n if n else None,
-                     m[f"{c}__mean"], m[f"{c}__sd"], m[f"{c}__min"], m[f"{c}__max"],
-                     *[int(h[f"{c}__h{i}"]) for i in range(bins)]))
-    schema = ("variable string, n_missing bigint, complete_rate double, mean double, sd double, "
-              "p0 double, p100 double, " + ", ".join(f"h{i} bigint" for i in range(bins)))
-    head = spark.createDataFrame(rows, schema)
+    n_rows = df.count()
+    vc = cut_lineage(value_counts(unpivot_long(df, cols), ["variable"]))
+    mom = vc.groupBy("variable").agg(
+        F.sum("cnt").alias("_nn"), F.min("value").alias("p0"), F.max("value").alias("p100"),
+        (F.sum(F.col("cnt") * F.col("value")) / F.sum("cnt")).alias("mean"))
+    j = vc.join(F.broadcast(mom), on="variable")          # one row per column: bounded
+    width = (F.col("p100") - F.col("p0")) / F.lit(float(bins))
+    b = F.when(width == 0, F.lit(0)).otherwise(
+        F.least(F.floor((F.col("value") - F.col("p0")) / width), F.lit(bins - 1)))
+    dev = F.col("value") - F.col("mean")
+    second = j.groupBy("variable").agg(
+        F.sum(F.col("cnt") * dev * dev).alias("_ss"),
+        *[F.coalesce(F.sum(F.when(b == F.lit(i), F.col("cnt"))), F.lit(0)).cast("bigint").alias(f"h{i}")
+          for i in range(bins)])
+    q = quantiles_from_counts(vc, ["variable"], [0.25, 0.5, 0.75])
     qp = q.groupBy("variable").agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(nm)
-                                   for p, nm in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
-    return head.join(qp, on="variable", how="left")
+                                     for p, nm in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    names = spark.createDataFrame([(c,) for c in cols], "variable string")
+    out = (names.join(mom, on="variable", how="left").join(second, on="variable", how="left")
+           .join(qp, on="variable", how="left"))
+    nn = F.coalesce(F.col("_nn"), F.lit(0))
+    return out.select(
+        "variable", (F.lit(n_rows) - nn).cast("bigint").alias("n_missing"),
+        (nn.cast("double") / F.lit(float(n_rows))).alias("complete_rate") if n_rows else
+        F.lit(None).cast("double").alias("complete_rate"),
+        "mean", F.sqrt(F.try_divide(F.col("_ss"), (nn - 1).cast("double"))).alias("sd"),
+        "p0", "p100", *[F.coalesce(F.col(f"h{i}"), F.lit(0).cast("bigint")).alias(f"h{i}") for i in range(bins)],
+        "p25", "p50", "p75")
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

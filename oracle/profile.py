@@ -41,7 +41,7 @@ def column_profile_sql(bins: int = 5) -> str:
     for c in PERSON_CODES:
         x = f"CAST({c} AS DOUBLE)"
         hist = ", ".join(
-            f"(SELECT count(*) FILTER (WHERE CASE WHEN r.hi = r.lo THEN ({i} = 0 AND {x} = r.lo) "
+            f"(SELECT count(*) FILTER (WHERE {x} IS NOT NULL AND CASE WHEN r.hi = r.lo THEN ({i} = 0 AND {x} = r.lo) "
             f"ELSE least(floor(({x} - r.lo) / ((r.hi - r.lo) / {bins})), {bins - 1}) = {i} END) "
             f"FROM personas) AS h{i}" for i in range(bins))
         parts.append(f"""SELECT '{c}' AS variable, r.miss AS n_missing,
