@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hhlens.session import cut_lineage, scratch_path
 
-__all__ = ["cut_lineage", "fresh", "global_rank", "is_empty", "scratch_path", "shared_fs", "table"]
+__all__ = ["cut_lineage", "fixed_splits", "fresh", "global_rank", "is_empty", "scratch_path", "shared_fs", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,21 @@ def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 
 
+@contextmanager
+def fixed_splits(spark: SparkSession):
+    """Inside, file scans are split alike however many executors are alive (the default
+    follows the cores at hand), so two passes over one table see the same partitions."""
+    key = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(key, None)
+    if before is None:
+        spark.conf.set(key, spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+
+
 def shared_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system and path of a folder that every executor reaches (file, hdfs, s3, gs)."""
     return pafs.FileSystem.from_uri(uri if ":" in uri else f"file://{uri}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, exact_dedup, langid, mixing, simhash, suffix_dedup, token_output, url_filter, warc)
+from . import (chat, decontamination, exact_dedup, langid, mixing, simhash, suffix_dedup, token_output, url_filter, warc)
 from .common import table
 
 CHAT_EXTRA = "<|im_end|><|im_start|>assistant ok"
@@ -13,6 +13,13 @@ URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/"
              ("org/fr/", "allow")]
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that it leaks: doc_id, item_id, at (word
+    position), distance (word edits), similarity."""
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"),
+                                      table(spark, sf_dir, "benchmark"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive, index, captures = warc.archive_pages(table(spark, sf_dir, "pages"))
     return warc.read_back(captures, archive, index)
@@ -86,6 +93,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc": op2_warc,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_url_filters": op4_url_filters,

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from .common import cut_lineage, scratch_path, shared_fs
+from .common import cut_lineage, fixed_splits, scratch_path, shared_fs
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the split pattern that belongs to the vocabulary.
@@ -131,13 +131,15 @@ def write_shards(docs: DataFrame, out: str | None = None, tokenizer: str = TOKEN
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def count(batches):
-        enc, n, done = load_encoder(vocabulary.value), 0, 0
+        enc, n = load_encoder(vocabulary.value), 0
         for b in batches:
             n += sum(1 + len(encode(enc, t.as_py() or "")) for t in b.column(1))
-        done = -(-n // seq_len)
-        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [done]})
+        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()],
+                                          "n": [-(-n // seq_len)]})
 
-    counts = dict(sorted((r[0], r[1]) for r in text.mapInArrow(count, "part long, n long").collect()))
+    with fixed_splits(spark):
+        counts = dict(sorted((r[0], r[1]) for r in
+                             text.mapInArrow(count, "part long, n long").collect()))
     total = sum(counts.values())
     starts, at = {}, 0
     for p, n in counts.items():
@@ -204,7 +206,9 @@ def write_shards(docs: DataFrame, out: str | None = None, tokenizer: str = TOKEN
         if sink:
             sink.close()
 
-    return cut_lineage(ranged.mapInArrow(write, MANIFEST)).withColumn("folder", F.lit(out))
+    with fixed_splits(spark):
+        manifest = cut_lineage(ranged.mapInArrow(write, MANIFEST))
+    return manifest.withColumn("folder", F.lit(out))
 
 
 def checked(manifest: DataFrame, seq_len: int = SEQ_LEN, eos: int = EOS) -> DataFrame:
