@@ -33,55 +33,62 @@ MAX_WORDS = 200_000
 MAX_NGRAMS = 100_000
 LONGEST = 5
 SMOOTH = 0.5
-CACHE = 300_000
-WORDS_AT_ONCE = 1_000_000
+CACHE = 100_000
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 class Model:
-    """Bounded tables: languages, word rows and n-gram rows of log frequencies."""
-
-    def __init__(self, langs: list[str], words: dict[str, np.ndarray], ngrams: dict[str, np.ndarray]):
-        self.langs = langs
-        self.grams = ngrams
-        self.row = {w: i for i, w in enumerate(words)}
-        self.known = len(self.row)
-        rows = [*words.values()]
-        self.table = np.array(rows, dtype=np.float64).reshape(len(rows), len(langs))
-        self.unseen: list[np.ndarray] = []
+    """Bounded tables of log frequencies, a row per word or n-gram and a column per language."""
+
+    def __init__(self, langs: list[str], words: list[str], table: np.ndarray,
+                 grams: list[str], gram_table: np.ndarray):
+        self.langs, self.words, self.grams, self.gram_table = langs, words, grams, gram_table
+        self.known, self.table = len(words), table
+        self.row: dict[str, int] = {}
+        self.gram_row: dict[str, int] = {}
+
+    def _load(self) -> None:
+        """Look-up tables; the rows after the known words cache up to CACHE unseen ones."""
+        self.row = {w: i for i, w in enumerate(self.words)}
+        self.gram_row = {g: i for i, g in enumerate(self.grams)}
+        self.unseen: list[str] = []
+        self.rows = np.concatenate([self.table, np.zeros((CACHE, len(self.langs)))])
 
     def _backoff(self, word: str) -> np.ndarray:
         marked = f"_{word}_"
         for n in range(LONGEST, 0, -1):
             found = [g for i in range(len(marked) - n + 1)
-                     if (g := self.grams.get(marked[i:i + n])) is not None]
+                     if (g := self.gram_row.get(marked[i:i + n])) is not None]
             if found:
-                return np.mean(found, axis=0)
+                return self.gram_table[found].mean(axis=0)
         return np.zeros(len(self.langs))
 
     def _sum(self, words: list[str]) -> np.ndarray:
-        row = self.row
-        for w in {w for w in words if w not in row}:
-            row[w] = self.known + len(self.unseen)
-            self.unseen.append(self._backoff(w))
-        idx = np.fromiter(map(row.__getitem__, words), dtype=np.int64, count=len(words))
-        total = self.table[idx[idx < self.known]].sum(axis=0)
-        for i in idx[idx >= self.known]:
-            total = total + self.unseen[i - self.known]
-        if len(self.unseen) > CACHE:  # the cache of unseen words stays bounded
-            for w in [w for w, i in row.items() if i >= self.known]:
-                del row[w]
-            self.unseen = []
-        return total
+        """At most CACHE words."""
+        found = list(map(self.row.get, words))
+        if None in found:
+            new = {w for w, i in zip(words, found) if i is None}
+            if len(self.unseen) + len(new) > CACHE:
+                for w in self.unseen:
+                    del self.row[w]
+                self.unseen, new = [], {w for w in words if w not in self.row}
+            for w in new:
+                i = self.row[w] = self.known + len(self.unseen)
+                self.unseen.append(w)
+                self.rows[i] = self._backoff(w)
+            found = [self.row[w] for w in words]
+        return self.rows[found].sum(axis=0)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = _WORD.findall(text.lower()) if text else []
         if not words or not self.langs:
             return UNKNOWN, 0.0
+        if not self.row:
+            self._load()
         total = np.zeros(len(self.langs))
-        for i in range(0, len(words), WORDS_AT_ONCE):
-            total = total + self._sum(words[i:i + WORDS_AT_ONCE])
+        for i in range(0, len(words), CACHE):
+            total = total + self._sum(words[i:i + CACHE])
         best = int(np.argmax(total))
         return self.langs[best], float(1.0 / np.exp(total - total[best]).sum())
 
@@ -92,7 +99,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MA
     rows = labelled.where("lang is not null and text is not null").select("text", "lang")
     n = rows.count()
     if not n:
-        return Model([], {}, {})
+        return Model([], [], np.zeros((0, 0)), [], np.zeros((0, 0)))
     share = max(1, min(1 << 20, round(sample_rows / n * (1 << 20))))
     sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share).distinct()
     found = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))
@@ -106,31 +113,31 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MA
         "lang", "n", F.explode(F.concat(*pieces)).alias("w")).groupBy("w", "lang").agg(
         F.sum("n").alias("n"))
     langs = sorted(r[0] for r in words.select("lang").distinct().collect())
-    return Model(langs, _log_rows(words, langs, max_words), _log_rows(grams, langs, max_ngrams))
+    return Model(langs, *_log_rows(words, langs, max_words), *_log_rows(grams, langs, max_ngrams))
 
 
-def _log_rows(counts: DataFrame, langs: list[str], most: int) -> dict[str, np.ndarray]:
+def _log_rows(counts: DataFrame, langs: list[str], most: int) -> tuple[list[str], np.ndarray]:
     """The ``most`` frequent entries with their log frequency per language."""
     totals = dict(counts.groupBy("lang").agg(F.sum("n")).collect())
-    kinds = counts.select("w").distinct().count()
-    top = (counts.groupBy("w").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"),
-                                   F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(most))
+    own = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"l{i}")
+           for i, x in enumerate(langs)]
+    by_word = cut_lineage(counts.groupBy("w").agg(F.sum("n").alias("n"), *own))
+    kinds = by_word.count()
+    top = by_word.orderBy(F.desc("n"), "w").limit(most).drop("n").toArrow()
+    found = np.stack([top.column(f"l{i}").to_numpy() for i in range(len(langs))], axis=1)
     norm = np.array([totals.get(x, 0) + SMOOTH * kinds for x in langs])
-    return {r["w"]: np.log((np.array([r["by"].get(x, 0) for x in langs]) + SMOOTH) / norm)
-            for r in top.collect()}
+    return top.column("w").to_pylist(), np.log((found + SMOOTH) / norm)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` plus lang_pred and score (which must be free names)."""
     sent = docs.sparkSession.sparkContext.broadcast(
-        (model.langs, list(model.row), model.table, model.grams))
+        (model.langs, model.words, model.table, model.grams, model.gram_table))
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()),
                          StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, words, table, grams = sent.value
-        m = Model(langs, {}, grams)
-        m.row, m.table, m.known = {w: i for i, w in enumerate(words)}, table, len(words)
+        m = Model(*sent.value)
         for b in batches:
             out = [m.predict(t.as_py()) for t in b.column(text)]
             yield pa.RecordBatch.from_arrays(
