@@ -20,12 +20,19 @@ empty result; columns beyond doc_id and text are not read.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, scratch_path
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk; files are not preallocated (a few MB for each of many small stores otherwise).
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 FILES_PER_BATCH = 1000
 HOT_GROUP = 10_000
 
@@ -41,6 +48,18 @@ def _digest() -> Column:
     return F.sha2(F.col("text").cast("binary"), 256)
 
 
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]):
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def state_log(spark: SparkSession, path: str, base: str,
               files_per_batch: int = FILES_PER_BATCH) -> DataFrame | None:
     """Runs the stream over all files now at ``path``, continuing under ``base`` (a shared
@@ -56,15 +75,10 @@ def state_log(spark: SparkSession, path: str, base: str,
                     .parquet(source))
     state = rows.groupBy(_digest().alias("digest")).agg(
         F.max(F.struct("doc_id", "locator")).alias("keep"), F.count("*").alias("n"))
-    key = "spark.sql.streaming.stateStore.providerClass"
-    provider = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB)
-    try:
-        q = (state.writeStream.outputMode("update").foreachBatch(append)
-             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
-        q.awaitTermination()
-    finally:
-        spark.conf.unset(key) if provider is None else spark.conf.set(key, provider)
+    with _settings(spark, STATE_SETTINGS):
+        (state.writeStream.outputMode("update").foreachBatch(append)
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+         .start().awaitTermination())
     if not spark.read.parquet(path).take(1):
         return None
     # ``n`` only grows, so the entry with the largest n is the latest of its key.
@@ -88,7 +102,7 @@ def exact_dedup(spark: SparkSession, path: str, base: str | None = None,
     out = light.join(state, "digest").select(
         "doc_id", "locator", "digest", "keep", "n",
         (F.col("keep.locator") == F.col("locator")).alias("kept"))
-    odd = cut_lineage(_collisions(docs, out))
+    odd = cut_lineage(_collisions(docs, state))
     if odd.take(1):
         out = _regroup(out, odd)
     return out.select("doc_id", F.col("keep.doc_id").alias("keep_id"),
@@ -96,19 +110,18 @@ def exact_dedup(spark: SparkSession, path: str, base: str | None = None,
                       F.col("digest").alias("text_sha256"))
 
 
-def _collisions(docs: DataFrame, judged: DataFrame) -> DataFrame:
+def _collisions(docs: DataFrame, state: DataFrame) -> DataFrame:
     """Rows of repeated digests whose bytes differ from those at the locator (none expected).
 
-    Copies are dealt over ceil(n / HOT_GROUP) salts, the located row to each of them, so a
-    hot group never meets in one task."""
+    Texts move once, to their digest's state; only hits are written and compared.  Copies are
+    dealt over ceil(n / HOT_GROUP) salts, the located row to each of them, so a hot group
+    never meets in one task."""
     salts = F.ceil(F.col("n") / F.lit(HOT_GROUP)).cast("int")
-    hits = judged.where("n > 1")
-    copies = docs.join(hits.where("not kept").select(
-        "locator", "digest", "n", F.pmod(F.xxhash64("locator"), salts).cast("int").alias("salt")),
-        "locator")
-    held = docs.select("locator", F.col("text").alias("ref")).join(
-        hits.where("kept").select("locator", "digest", F.explode(
-            F.sequence(F.lit(0), salts - 1)).alias("salt")), "locator").drop("locator")
+    hits = cut_lineage(docs.withColumn("digest", _digest()).join(state.where("n > 1"), "digest"))
+    kept = F.col("keep.locator") == F.col("locator")
+    copies = hits.where(~kept).withColumn("salt", F.pmod(F.xxhash64("locator"), salts).cast("int"))
+    held = hits.where(kept).select("digest", F.col("text").alias("ref"), F.explode(
+        F.sequence(F.lit(0), salts - 1)).alias("salt"))
     return (copies.join(held, ["digest", "salt"]).where(F.col("text") != F.col("ref"))
             .select("doc_id", "locator", "digest", "text"))
 
