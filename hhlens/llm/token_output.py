@@ -204,7 +204,7 @@ def write_shards(docs: DataFrame, out: str | None = None, tokenizer: str = TOKEN
                         sink.close()
                     shard, pos = slot // shard_seqs, 0
                     name = f"shard-{shard:08d}-{uuid.uuid4().hex[:8]}.bin"
-                    sink = fs.open_output_stream(f"{base}/{name}")
+                    sink = fs.open_output_stream(f"{base}/{name}", compression=None)
                 if pos != (slot % shard_seqs) * stride:
                     raise RuntimeError(f"slot {slot} is out of order in its shard")
                 sink.write(payload)

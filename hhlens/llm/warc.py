@@ -1,6 +1,7 @@
 """WARC archives with a two-level capture index.
 
-Writing: each task writes one WARC/1.0 file (a record per page, payload the html in UTF-8).
+Writing: each task writes one WARC/1.0 file (a record per page, payload the html in UTF-8,
+each record a gzip member of its own, so that it can be read by its range).
 Of the records with equal payloads the one with the largest page_id is the response, the
 others are revisits that refer to it.
 
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import gzip
 import hashlib
 import uuid
 import zlib
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from .common import cut_lineage, scratch_path, shared_fs
 
 BLOCK_LINES = 3_000
+GZIP_LEVEL = 3
 CAPTURE = ("key string, page_id long, file string, offset long, length long")
 DIRECTORY = ("first string, last string, file string, offset long, length long, n_lines int")
 DATE = "2000-01-01T00:00:00Z"
@@ -121,13 +124,14 @@ def write_archives(pages: DataFrame, out: str, min_bytes: int = 0) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = shared_fs(out)
         fs.create_dir(base, recursive=True)
-        name, sink, at = f"pages-{uuid.uuid4().hex}.warc", None, 0
+        name, sink, at = f"pages-{uuid.uuid4().hex}.warc.gz", None, 0
         for b in batches:
             rows = {c: [] for c in ("key", "page_id", "file", "offset", "length")}
             for i in range(b.num_rows):
                 page, url, html, ref, again = (b.column(c)[i].as_py() for c in range(5))
                 raw = record(page, url, html.encode("utf-8", "surrogatepass"), ref, again)
-                sink = sink or fs.open_output_stream(f"{base}/{name}")
+                sink = sink or fs.open_output_stream(f"{base}/{name}", compression=None)
+                raw = gzip.compress(raw, GZIP_LEVEL, mtime=0)
                 sink.write(raw)
                 for c, v in zip(rows, (capture_key(url, page), page, name, at, len(raw))):
                     rows[c].append(v)
@@ -155,7 +159,7 @@ def write_index(captures: DataFrame, out: str, block_lines: int = BLOCK_LINES) -
 
         def pack():
             nonlocal sink, at
-            sink = sink or fs.open_output_stream(f"{base}/{name}")
+            sink = sink or fs.open_output_stream(f"{base}/{name}", compression=None)
             block = zlib.compress("\n".join("\t".join(map(str, x)) for x in lines).encode(
                 "utf-8", "surrogatepass"))
             sink.write(block)
@@ -225,7 +229,8 @@ def lookup(keys: DataFrame, archive: str, index: str, payload: bool = True) -> D
                         names = [x[0] for x in lines]
                     for j in range(bisect.bisect_left(names, k), bisect.bisect_right(names, k)):
                         _, page, file, at, length = lines[j]
-                        head, body = parse(read(f"{archives}/{file}", int(at), int(length)))
+                        head, body = parse(gzip.decompress(
+                            read(f"{archives}/{file}", int(at), int(length))))
                         out.append((k, None if page == "None" else int(page), head["WARC-Type"],
                                     _page(head.get("WARC-Refers-To")),
                                     head["WARC-Payload-Digest"].removeprefix("sha1:"),
