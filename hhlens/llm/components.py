@@ -21,7 +21,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     last = None
     while True:
         sym = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = sym.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # Written, so that the join sees two plain exchanges and can split a hub's rows.
+        low = cut_lineage(sym.groupBy("u").agg(F.min("v").alias("m"))
+                          .select("u", F.least("u", "m").alias("m")))
         large = sym.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))

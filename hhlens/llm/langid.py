@@ -110,7 +110,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MA
                           lambda i, k=k: F.substring(marked, i, F.lit(k)))
               for k in range(1, LONGEST + 1)]
     grams = words.where(F.length("w") <= 100).select(
-        "lang", "n", F.explode(F.concat(*pieces)).alias("w")).groupBy("w", "lang").agg(
+        "lang", "n", F.explode(F.concat(*pieces)).alias("w")).where("w <> '_'").groupBy("w", "lang").agg(
         F.sum("n").alias("n"))
     langs = sorted(r[0] for r in words.select("lang").distinct().collect())
     return Model(langs, *_log_rows(words, langs, max_words), *_log_rows(grams, langs, max_ngrams))

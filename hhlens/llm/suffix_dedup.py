@@ -336,7 +336,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH,
     unmerged byte ranges, bodies (tid, body, ...) has every text with a shared gram."""
     texts = _texts(docs, text)
     found = cut_lineage(runs(texts.where(F.octet_length("body") >= length), length, gram))
-    shared = found.groupBy("key").count().where("count > 1").select("key")
+    # Written, so that the join sees two plain exchanges and can split a hot gram's rows.
+    shared = cut_lineage(found.groupBy("key").count().where("count > 1").select("key"))
     kept = cut_lineage(found.join(shared, "key"))
     one = kept.groupBy("digest").agg(F.count("*").alias("seen"), F.min(
         F.struct("tid", "start", "n", "gram", "key")).alias("r")).select("digest", "seen", "r.*")

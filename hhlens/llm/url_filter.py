@@ -22,7 +22,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import cut_lineage, fresh
 
 KEYS_PER_BLOCK = 24
 WORDS = 8
@@ -115,7 +115,8 @@ def filter_urls(pages: DataFrame, listed: DataFrame, url: str = "url",
     p = pages.select(*[F.col(f"`{c}`").alias(names[c]) for c in keep],
                      host_of(F.col(f"`{url}`")).alias("host"), path_of(F.col(f"`{url}`")).alias("path"))
     v = verdicts(p.select("host", "path").distinct(), listed)
-    out = p.join(v, ["host", "path"], "left")
+    # Written, so that the join sees two plain exchanges and can split a hot url's rows.
+    out = p.join(cut_lineage(v), ["host", "path"], "left")
     return out.select(*[F.col(names[c]).alias(c) for c in keep if c.lower() not in
                         ("host", "path", "rule", "verdict")],
                       "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))

@@ -112,7 +112,8 @@ def judged(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     p = p.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
     first = p.where(F.octet_length("html") >= min_bytes).groupBy("digest").agg(
         F.max(F.struct("page_id", "at")).alias("keep"))
-    out = p.join(first, "digest", "left")
+    # Written, so that the join sees two plain exchanges and can split a hot group's rows.
+    out = p.join(cut_lineage(first), "digest", "left")
     revisit = F.coalesce(F.col("keep.at") != F.col("at"), F.lit(False))
     return out.select("page_id", "url", "html", F.when(revisit, F.col("keep.page_id")).alias("refers_to"),
                       revisit.alias("revisit"))
