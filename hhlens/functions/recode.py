@@ -101,12 +101,13 @@ def dummy_levels(df, cols, max_levels: int = 1000) -> dict:
     more levels is not a factor and raises)."""
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
         [], list(cols), "variable", "level").where(F.col("level").isNotNull())
-    rows = long.groupBy("variable").agg(F.collect_set("level").alias("levels"),
-                                        F.count_distinct("level").alias("k")).collect()
+    known = long.distinct()
+    for r in known.groupBy("variable").count().collect():   # one row per column
+        if r["count"] > max_levels:
+            raise ValueError(f"{r['variable']} has {r['count']} levels (> {max_levels})")
+    rows = known.groupBy("variable").agg(F.collect_list("level").alias("levels")).collect()
     out = {}
     for r in rows:
-        if r["k"] > max_levels:
-            raise ValueError(f"{r['variable']} has {r['k']} levels (> {max_levels})")
         dtype = dict(df.dtypes)[r["variable"]]
         conv = int if dtype in ("int", "bigint", "smallint", "tinyint") else \
             (float if dtype in ("double", "float") else str)

@@ -16,7 +16,9 @@ def class_share(df: DataFrame, label: str, labels: Mapping | None = None) -> Dat
     """Count and percentage of each class (``mean(y == k) * 100``); NULL labels are an
     error, as ``mean`` without ``na.rm`` would give NA."""
     tot = F.sum("n").over(Window.partitionBy())
-    out = (df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    known = F.when(F.col(label).isNotNull(), F.col(label)).otherwise(
+        F.raise_error(F.lit(f"{label} has missing values")))
+    out = (df.groupBy(known.alias(label)).agg(F.count(F.lit(1)).alias("n"))
            .withColumn("pct", F.col("n") * F.lit(100.0) / tot))
     if labels:
         out = out.withColumn("class_label", decode(label, labels))

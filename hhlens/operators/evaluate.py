@@ -25,11 +25,14 @@ def _cells(pred: Column, ref: Column, positive) -> dict[str, Column]:
 
 
 def confusion(df: DataFrame, prediction: str, label: str, positive=1,
-              groups: Sequence[str] = ()) -> DataFrame:
+              groups: Sequence[str] = (), negative=None) -> DataFrame:
     """2 x 2 table as (groups..., prediction, reference, n); cells that never occur are 0.
+    ``negative`` names the other label (known for 0/1, required for any other).
     One aggregate of four conditional counts, then unpivot (no join to a domain table)."""
     c = _cells(F.col(prediction), F.col(label), positive)
-    neg = 1 - positive if positive in (0, 1) else None
+    if negative is None and positive not in (0, 1):
+        raise ValueError("name the negative label")
+    neg = 1 - positive if negative is None else negative
     wide = df.groupBy(*groups).agg(*[v.alias(k) for k, v in c.items()])
     stacked = F.explode(F.array(
         F.struct(F.lit(positive).alias("prediction"), F.lit(positive).alias("reference"), F.col("tp").alias("n")),
@@ -76,9 +79,15 @@ def score_counts(df: DataFrame, score: str, label: str, positive=1,
 def roc_curve(df: DataFrame, score: str, label: str, positive=1, groups: Sequence[str] = (),
               bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One point per distinct score s (descending): predicting positive when score >= s
-    gives (fpr, tpr).  Columns: groups..., score, tp, fp, tpr, fpr, specificity."""
+    gives (fpr, tpr); before them the end point (0, 0) of a threshold that no score reaches
+    (score = infinity).  Columns: groups..., score, tp, fp, tpr, fpr, specificity."""
     sc = score_counts(df, score, label, positive, groups)
     pc = prefix_counts(sc, list(groups), "score", ["pos", "neg"], bucket_rows, descending=True)
+    keep = [*groups, "total_pos", "total_neg"]
+    zero = F.lit(0).cast("bigint")
+    ends = pc.select(*keep).distinct().select(*keep, F.lit(float("inf")).alias("score"),
+                                              zero.alias("cum_pos"), zero.alias("cum_neg"))
+    pc = pc.select(*keep, "score", "cum_pos", "cum_neg").unionByName(ends)
     return pc.select(*groups, "score", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                      F.try_divide(F.col("cum_pos").cast("double"), F.col("total_pos")).alias("tpr"),
                      F.try_divide(F.col("cum_neg").cast("double"), F.col("total_neg")).alias("fpr"),

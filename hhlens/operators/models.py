@@ -53,8 +53,8 @@ INTERCEPT = "(Intercept)"
 TUNING_TOL = 1e-7     # convergence tolerance of tuning fits (selection, not optimality checks)
 
 
-def complete_cases(df: DataFrame, cols: Sequence[str], missing: str = "drop") -> DataFrame:
-    """Missing-value policy for model input: ``drop`` (listwise deletion), ``zero`` (fill
+def complete_cases(df: DataFrame, cols: Sequence[str], missing: str) -> DataFrame:
+    """Explicit missing-value policies beside ``impute``: ``drop`` (listwise deletion), ``zero`` (fill
     with 0) or ``error`` (fail on the first NULL, like a formula interface with na.fail)."""
     if missing == "drop":
         return df.dropna(how="any", subset=list(cols))
@@ -68,6 +68,24 @@ def complete_cases(df: DataFrame, cols: Sequence[str], missing: str = "drop") ->
     raise ValueError(f"unknown missing policy {missing!r}")
 
 
+def median_values(train: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """Exact medians of the training rows (NULLs ignored): one number per column."""
+    from hhlens.operators.ordered import exact_quantiles
+
+    got = exact_quantiles(train, cols, [0.5]).collect()
+    return {r["variable"]: r["q"] for r in got}
+
+
+def impute(df: DataFrame, values: Mapping[str, float], indicators: bool = False) -> DataFrame:
+    """Missing-value policy that loses no row: NULLs take the value learned on the training
+    rows (a column without any known training value takes 0), on training and test rows alike;
+    ``indicators`` adds ``<column>_missing`` (0/1) for every imputed column."""
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(float(v if v is not None else 0.0)))
+              for c, v in values.items()}
+    flags = {f"{c}_missing": F.col(c).isNull().cast("int") for c in values} if indicators else {}
+    return df.withColumns(flags).withColumns(filled) if flags else df.withColumns(filled)
+
+
 def logistic_pipeline(features: Sequence[str], label: str, reg: float = 0.0, alpha: float = 0.0,
                       weight: str | None = None, max_iter: int = 500, tol: float = 1e-10) -> Pipeline:
     """Assemble -> centre and scale (sample sd, fitted on the training rows) -> logistic
@@ -184,10 +202,12 @@ def forest_pipeline(features: Sequence[str], label: str, mtry: int, min_node_siz
     node size), depth capped at ``max_depth`` (Spark allows at most 30)."""
     if not 1 <= mtry <= len(features):
         raise ValueError(f"mtry={mtry} outside 1..{len(features)}")
+    if max_depth > 30:
+        raise ValueError("a depth over 30 cannot be grown")
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees,
                                 featureSubsetStrategy=str(mtry), minInstancesPerNode=min_node_size,
-                                impurity="gini", maxDepth=min(max_depth, 30), seed=seed,
+                                impurity="gini", maxDepth=max_depth, seed=seed,
                                 maxBins=max_bins)
     return Pipeline(stages=[asm, rf])
 
@@ -233,7 +253,9 @@ class CVResult:
         self.oof, self.alias, self.base, self.n_fits = oof, alias, base, n_fits
 
     def release(self):
-        self.base.unpersist()   # checkpoint files are cleaned with the checkpoint folder
+        from hhlens.session import drop_cut
+
+        drop_cut(self.base)
 
 
 def model_score_column(model: PipelineModel) -> Column | None:

@@ -6,10 +6,9 @@ holds billions of distinct values.  The helpers below keep every step partitione
 
 1. ``value_counts``   unpivot the columns and count each (part, value) pair; duplicates
                       (a hot value holding a third of the rows) collapse map-side.
-2. ``prefix_counts``  cumulative counts in value order inside each part.  Values are cut
-                      into range buckets at approximate quantiles (bounded list, collected),
-                      each bucket is sorted by its own window, and bucket offsets come from
-                      a table of (part, bucket) totals, which is small by construction.
+2. ``prefix_counts``  cumulative counts in value order inside each part.  One range exchange
+                      deals the values into buckets, each bucket is sorted by its own window,
+                      and bucket offsets come from a table of (part, bucket) totals.
 3. ``exact_quantiles`` type-7 quantiles (linear interpolation, as R ``quantile`` and SQL
                       ``quantile_cont``) from the two order statistics around (n-1)p, found
                       by joining the prefix table to the small table of target ranks.
@@ -43,70 +42,57 @@ def value_counts(long: DataFrame, parts: Sequence[str], value: str = "value") ->
     return long.groupBy(*parts, value).agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` where NULL meets NULL; the left side's key columns stay."""
+    names = {c: f"_ns_{i}" for i, c in enumerate(on)}
+    right = right.withColumnsRenamed(names)
+    cond = reduce(lambda x, y: x & y, [left[c].eqNullSafe(right[n]) for c, n in names.items()])
+    return left.join(right, cond, how).drop(*names.values())
+
+
 def prefix_counts(vc: DataFrame, parts: Sequence[str], value: str = "value",
                   weight="cnt", bucket_rows: int = BUCKET_ROWS,
-                  descending: bool = False, max_nd: int | None = None,
-                  materialize: bool = True) -> DataFrame:
-    """Running sums in value order within each part, computed bucket by bucket.
+                  descending: bool = False) -> DataFrame:
+    """Running sums in value order within each part.
 
     For every weight column ``w`` (``weight`` is a name or a list of names) adds ``cum_w``
     = the inclusive running sum over ascending ``value`` (descending with ``descending``)
     and ``total_w`` = the part's sum.  With a single weight the columns are called ``cum``
-    and ``total``.  ``value`` must be unique within a part (pre-aggregate first).
+    and ``total``.  ``value`` must be unique within a part (pre-aggregate first); a NULL part
+    is a part of its own, a NULL value sorts first.
 
-    ``materialize`` checkpoints the input once (shared checkpoint folder) so the sizing
-    job and the final job do not both recompute it; ``max_nd`` (largest number of rows of
-    one part), when known, saves the sizing job.
-    """
+    One range exchange on (parts, value) deals the rows into buckets (at least the session's
+    shuffle partitions; more, so that none is expected to pass ``bucket_rows``).  It is
+    written once with its bucket number; a table of (part, bucket) totals, with at most one
+    row per part and bucket boundary, gives the offsets, and each bucket is summed alone."""
     from hhlens.session import cut_lineage
 
-    if materialize:
-        vc = cut_lineage(vc)
     weights = [weight] if isinstance(weight, str) else list(weight)
     single = isinstance(weight, str)
     cum_name = {w: ("cum" if single else f"cum_{w}") for w in weights}
     tot_name = {w: ("total" if single else f"total_{w}") for w in weights}
-    if max_nd is None:
-        stats = vc.groupBy(*parts).agg(F.count(F.lit(1)).alias("_nd"))
-        max_nd = stats.agg(F.max("_nd")).first()[0] or 0
-    n_buckets = max(1, math.ceil(max_nd / bucket_rows))
-    if n_buckets == 1:
-        keyed = vc.withColumn("_b", F.lit(0))
-    else:
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        accuracy = max(10_000, 20 * n_buckets)
-        bounds = vc.groupBy(*parts).agg(
-            F.percentile_approx(value, probs, accuracy).alias("_bounds"))
-        if parts:
-            keyed = vc.join(F.broadcast(bounds) if _small(bounds) else bounds, on=list(parts))
-        else:   # one global list of n_buckets - 1 cut points
-            cuts = bounds.first()["_bounds"]
-            keyed = vc.withColumn("_bounds", F.array(*[F.lit(c) for c in cuts]))
-        keyed = (keyed.withColumn("_b", F.size(F.filter("_bounds", lambda b: b <= F.col(value))))
-                 .drop("_bounds"))
-        if descending:
-            keyed = keyed.withColumn("_b", F.lit(n_buckets - 1) - F.col("_b"))
+    parts = list(parts)
+    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
+    vc = cut_lineage(vc)
+    n = max(int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+            2 * math.ceil(vc.count() / bucket_rows))
+    keyed = cut_lineage(vc.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in parts], order)
+                        .withColumn("_b", F.spark_partition_id()))
     totals = keyed.groupBy(*parts, "_b").agg(*[F.sum(w).alias(f"_bt_{w}") for w in weights])
-    wb = Window.partitionBy(*parts).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.partitionBy(*parts)
+    before = Window.partitionBy(*parts).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*parts)
     offsets = totals.select(
         *parts, "_b",
-        *[F.coalesce(F.sum(f"_bt_{w}").over(wb), F.lit(0)).alias(f"_off_{w}") for w in weights],
-        *[F.sum(f"_bt_{w}").over(wall).alias(tot_name[w]) for w in weights])
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    w_run = Window.partitionBy(*parts, "_b").orderBy(order).rowsBetween(
+        *[F.coalesce(F.sum(f"_bt_{w}").over(before), F.lit(0)).alias(f"_off_{w}") for w in weights],
+        *[F.sum(f"_bt_{w}").over(whole).alias(tot_name[w]) for w in weights])
+    run = Window.partitionBy(*parts, "_b").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    off_side = F.broadcast(offsets) if len(parts) * n_buckets < BROADCAST_ROWS else offsets
-    out = keyed.join(off_side, on=[*parts, "_b"])
+    out = null_safe(keyed, offsets, [*parts, "_b"])
     for w in weights:
-        out = out.withColumn(cum_name[w], F.col(f"_off_{w}") + F.sum(w).over(w_run))
+        out = out.withColumn(cum_name[w], F.col(f"_off_{w}") + F.sum(w).over(run))
     return out.drop("_b", *[f"_off_{w}" for w in weights])
 
 
-def _small(df: DataFrame) -> bool:
-    return df.count() <= BROADCAST_ROWS
-
-
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     groups: Sequence[str] = (), bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(groups..., variable, p, q, n): type-7 quantiles of every column (NULLs ignored).
@@ -126,10 +112,9 @@ def quantiles_from_counts(vc: DataFrame, parts: Sequence[str], probs: Sequence[f
                           bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Type-7 quantiles from a (parts..., value, cnt) table of distinct values."""
     parts = list(parts)
-    stats = vc.groupBy(*parts).agg(F.count(F.lit(1)).alias("_nd"), F.sum("cnt").alias("n"))
-    n_parts_row = stats.agg(F.count(F.lit(1)).alias("k"), F.max("_nd").alias("m")).first()
-    n_parts, max_nd = n_parts_row["k"], n_parts_row["m"] or 0
-    pc = prefix_counts(vc, parts, bucket_rows=bucket_rows, max_nd=max_nd, materialize=False)
+    stats = vc.groupBy(*parts).agg(F.sum("cnt").alias("n"))
+    n_parts = stats.count()
+    pc = prefix_counts(vc, parts, bucket_rows=bucket_rows)
     pc = pc.withColumn("_prev", F.col("cum") - F.col("cnt"))
     p_arr = F.array(*[F.lit(float(p)) for p in probs])
     targets = (stats.select(*[F.col(c).alias(f"_t_{c}") for c in parts], "n",
@@ -140,7 +125,7 @@ def quantiles_from_counts(vc: DataFrame, parts: Sequence[str], probs: Sequence[f
     t_side = F.broadcast(targets) if n_parts * len(probs) <= BROADCAST_ROWS else targets
     hit_lo = (F.col("_prev") <= F.col("lo")) & (F.col("lo") < F.col("cum"))
     hit_hi = (F.col("_prev") <= F.col("hi")) & (F.col("hi") < F.col("cum"))
-    cond = [F.col(c) == F.col(f"_t_{c}") for c in parts]
+    cond = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in parts]
     hits = (pc.join(t_side, on=reduce(lambda a, b: a & b, cond) & (hit_lo | hit_hi))
             .select(*parts, "p", "h", "lo", "n", F.when(hit_lo, F.col("value")).alias("v_lo"),
                     F.when(hit_hi, F.col("value")).alias("v_hi")))
@@ -150,14 +135,3 @@ def quantiles_from_counts(vc: DataFrame, parts: Sequence[str], probs: Sequence[f
     d = F.col("h") - F.col("lo")
     return agg.select(*parts, "p", (F.col("v_lo") + d * (F.col("v_hi") - F.col("v_lo"))).alias("q"),
                       "n")
-
-
-def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                 groups: Sequence[str] = ()) -> dict:
-    """Quantiles collected as {(groups..., column, p): q}; the result has one entry per
-    (group, column, p), which is bounded by the caller's choice of columns and probs."""
-    out = {}
-    for r in exact_quantiles(df, cols, probs, groups).collect():
-        key = tuple(r[g] for g in groups) + (r["variable"], float(r["p"]))
-        out[key] = r["q"]
-    return out

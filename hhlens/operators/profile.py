@@ -6,9 +6,10 @@ Each report is a fixed number of passes over the data however many columns it co
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -22,6 +23,38 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
             if isinstance(f.dataType, NumericType) and f.name not in exclude]
 
 
+def columns_matching(df: DataFrame, pattern: str) -> list[str]:
+    """``grep(pattern, names(df), value = TRUE)``: the columns whose name the regular
+    expression finds, schema order."""
+    found = re.compile(pattern)
+    return [c for c in df.columns if found.search(c)]
+
+
+def factor_profile(df: DataFrame, cols: Sequence[str], top: int = 4) -> DataFrame:
+    """``skim``-like summary of factor and character columns: variable, n_missing,
+    complete_rate, n_unique and the ``top`` most frequent levels with their counts (ties by
+    level).  The columns are counted per level in one pass; only levels are ranked."""
+    from hhlens.session import cut_lineage
+
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
+        [], list(cols), "variable", "level")
+    lv = cut_lineage(long.groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n")))
+    known = lv.where(F.col("level").isNotNull())
+    w = Window.partitionBy("variable").orderBy(F.desc("n"), "level")
+    best = (known.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top)
+            .groupBy("variable").agg(F.array_sort(F.collect_list(F.struct("_r", "level", "n"))).alias("_t"))
+            .select("variable", F.array_join(F.transform("_t", lambda x: F.concat(
+                x["level"], F.lit(": "), x["n"].cast("string"))), ", ").alias("top_counts")))
+    sums = lv.groupBy("variable").agg(
+        F.sum(F.when(F.col("level").isNull(), F.col("n")).otherwise(0)).alias("n_missing"),
+        F.sum("n").alias("_n"), F.count("level").alias("n_unique"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")
+    return (names.join(sums, "variable", "left").join(best, "variable", "left").select(
+        "variable", F.coalesce("n_missing", F.lit(0)).cast("bigint").alias("n_missing"),
+        (F.lit(1.0) - F.try_divide(F.col("n_missing").cast("double"), F.col("_n"))).alias("complete_rate"),
+        F.coalesce("n_unique", F.lit(0)).cast("bigint").alias("n_unique"), "top_counts"))
+
+
 def _long(wide: DataFrame, cols: Sequence[str], name: str, value: str) -> DataFrame:
     return wide.unpivot([], list(cols), name, value)
 
@@ -34,7 +67,7 @@ def null_counts(df: DataFrame, only_positive: bool = True) -> DataFrame:
     out = _long(wide, df.columns, "variable", "n")
     if only_positive:
         out = out.where(F.col("n") > 0)
-    return out
+    return out.orderBy(F.desc("n"), "variable")
 
 
 def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
@@ -62,7 +95,7 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.
         else:
             counts.append(F.count_if((x < F.lit(lo)) | (x > F.lit(hi))).alias(c))
     wide = df.agg(*counts)
-    return _long(wide, cols, "variable", "n_outliers")
+    return _long(wide, cols, "variable", "n_outliers").orderBy(F.desc("n_outliers"), "variable")
 
 
 def column_profile(df: DataFrame, cols: Sequence[str] | None = None, bins: int = 5) -> DataFrame:

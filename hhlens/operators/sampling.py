@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hhlens.functions.randomness import portable_hash
-from hhlens.operators.ordered import BROADCAST_ROWS, BUCKET_ROWS, prefix_counts
+from hhlens.operators.ordered import BROADCAST_ROWS, BUCKET_ROWS, null_safe, prefix_counts
 
 
 def rank_within(df: DataFrame, parts: Sequence[str], key: str, seed,
@@ -24,13 +24,14 @@ def rank_within(df: DataFrame, parts: Sequence[str], key: str, seed,
     """Adds ``_h`` (the row's hash), ``rank`` (1-based position in (hash, key) order within
     ``parts``) and ``n_part`` (rows of the part)."""
     parts = list(parts)
-    h = df.withColumn("_h", portable_hash(key, seed))
+    # No row is lost: a NULL key ranks first, a NULL part is a part of its own.
+    h = df.withColumn("_h", F.coalesce(portable_hash(key, seed), F.lit(-1).cast("bigint")))
     vc = h.groupBy(*parts, "_h").agg(F.count(F.lit(1)).alias("cnt"))
     pc = prefix_counts(vc, parts, "_h", "cnt", bucket_rows)
     pc = pc.select(*parts, "_h", (F.col("cum") - F.col("cnt")).alias("_before"),
                    F.col("total").alias("n_part"))
     tie = Window.partitionBy(*parts, "_h").orderBy(key)     # rows sharing one hash value
-    return (h.join(pc, on=[*parts, "_h"])
+    return (null_safe(h, pc, [*parts, "_h"])
             .withColumn("rank", F.col("_before") + F.row_number().over(tie))
             .drop("_before"))
 

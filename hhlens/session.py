@@ -48,6 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="hhlens-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
@@ -60,14 +62,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df, eager: bool = True):
+def cut_lineage(df):
     """Cut the lineage by writing the frame as Parquet under the shared checkpoint folder
     and scanning it back (never a local checkpoint).
 
     A reloaded table also starts with no inherited constraints, which keeps Catalyst's
     constraint inference small in plans that alias many NOT NULL columns, and its scan
-    prunes columns.  ``eager`` is kept for signature compatibility (always written now)."""
+    prunes columns.  The files live as long as the folder; ``drop_cut`` deletes one early."""
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_cut(df) -> None:
+    """Deletes the files of a frame made by ``cut_lineage`` (it must no longer be read)."""
+    spark = df.sparkSession
+    base = shared_dir(spark).rstrip("/")
+    for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+        if f.rsplit("/", 1)[-1].startswith("cut-") and f.split(":", 1)[-1].lstrip("/").startswith(
+                base.split(":", 1)[-1].lstrip("/")):
+            path = spark._jvm.org.apache.hadoop.fs.Path(f)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

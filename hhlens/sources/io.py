@@ -62,8 +62,12 @@ def confirm_sink(spark: SparkSession, path: str, expected: DataFrame, schema: st
                  ) -> bool:
     """``file.exists(path)``, strengthened: the files read back with the expected schema
     and the same row count."""
+    want = [c.split()[0] for c in schema.split(", ")]
+    if spark.read.option("header", True).csv(path).columns != want or expected.columns != want:
+        return False
     back = read_predictions(spark, path, schema)
-    return back.count() == expected.count()
+    known = [F.count(c) for c in want]  # a value that does not fit its type reads as NULL
+    return back.agg(F.count("*"), *known).first() == expected.agg(F.count("*"), *known).first()
 
 
 def fmt_param(x: Column, decimals: int = 4) -> Column:

@@ -48,7 +48,8 @@ c AS (SELECT score, count(*) FILTER (WHERE Pobre = 1) AS pos, count(*) FILTER (W
       FROM scored GROUP BY score),
 r AS (SELECT score, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
              sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
-             sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM c)
+             sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM c
+      UNION ALL SELECT CAST('inf' AS DOUBLE), 0, 0, sum(pos), sum(neg) FROM c)
 SELECT round(score, 6) AS score, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
        round(tp / CAST(P AS DOUBLE), 6) AS tpr, round(fp / CAST(N AS DOUBLE), 6) AS fpr,
        round(1.0 - fp / CAST(N AS DOUBLE), 6) AS specificity FROM r"""
