@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hhlens.functions.recode import threshold
-from hhlens.operators import describe, evaluate, models, sampling
+from hhlens.operators import describe, evaluate, linear_tuning, models, sampling
 from hhlens.plans import households as hh
 from hhlens.plans import specs
 from hhlens.sources import io
@@ -77,17 +77,16 @@ def linear_grids(quick: bool = False) -> dict[str, list[dict]]:
 
 
 def linear_models(train: DataFrame, test: DataFrame, out: str, folds: int = specs.LINEAR_FOLDS,
-                  quick: bool = False, parallelism: int = 4) -> dict:
+                  quick: bool = False) -> dict:
     """Tune each linear model by k-fold accuracy, refit the best on all training rows,
     report train-set metrics (class 1 positive) and write the ridge test predictions."""
     X, y = specs.LINEAR_PREDICTORS, specs.LABEL
     spark = train.sparkSession
-    data = sampling.kfold(models.complete_cases(train, X), y, folds, specs.SEED)
-    fit = lambda tr, alpha, reg: models.fit_logistic(tr, X, y, reg, alpha, tol=models.TUNING_TOL)
+    values = models.median_values(train, X)
+    data = sampling.kfold(models.impute(train, values), y, folds, specs.SEED)
     report, metrics, fitted = {}, {}, {}
     for name, cands in linear_grids(quick).items():
-        cv = models.cross_validate(data, X, y, "fold", cands, fit,
-                                   pruned=models.lambda_max_pruner(X, y), parallelism=parallelism)
+        cv = linear_tuning.cross_validate_linear(data, X, y, "fold", cands)
         res = models.tuning_results(cv, cands)
         io.write_store(res, f"{out}/tuning_{name}")
         best = models.best_candidate(res)
@@ -101,7 +100,7 @@ def linear_models(train: DataFrame, test: DataFrame, out: str, folds: int = spec
                         "coefficients": models.coefficient_table(model, X)}
     io.write_store(evaluate.comparison_table(metrics), f"{out}/linear_comparison")
     ridge = fitted["ridge"]
-    t = models.complete_cases(test, X, "zero")
+    t = models.impute(test, values)
     pred = models.prob_of_positive(ridge.transform(t)).select("id", threshold("prob", specs.THRESHOLD).alias("pobre"))
     b = report["ridge"]["best"]
     name = spark.range(1).select(io.output_name("Ridge", F.lit(b["reg"]), F.lit(b["alpha"]))).first()[0]
@@ -123,7 +122,8 @@ def random_forest(train: DataFrame, test: DataFrame, out: str, quick: bool = Fal
         if quick:
             grid = {k: v[:2] for k, v in grid.items()}
             trees = min(trees, 10)
-        d = sampling.partition_split(models.complete_cases(train, X), y, specs.TRAIN_SHARE, specs.SEED)
+        values = models.median_values(train, X)
+        d = sampling.partition_split(models.impute(train, values), y, specs.TRAIN_SHARE, specs.SEED)
         tr, hold = d.where("is_train = 1"), d.where("is_train = 0")
         tr = sampling.kfold(tr, y, specs.FOREST_FOLDS, specs.SEED)
         cands = models.expand_grid(mtry=grid["mtry"], min_node_size=grid["min_node_size"])
@@ -151,7 +151,7 @@ def random_forest(train: DataFrame, test: DataFrame, out: str, quick: bool = Fal
         report[stage] = {"best": {k: best[k] for k in ("mtry", "min_node_size", "Accuracy")},
                          "holdout": m}
         if stage == "final":
-            t = models.complete_cases(test, X, "zero")
+            t = models.impute(test, values)
             pred = model.transform(t).select("id", F.col("prediction").cast("int").alias("pobre"))
             io.write_predictions(pred, f"{out}/predicciones_test")
             report["final"]["external_score"] = specs.EXTERNAL_SCORE

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hhlens.functions.recode import add_dummies, dummy_levels, threshold
-from hhlens.operators import describe, evaluate, models, ordered, profile, sampling
+from hhlens.operators import describe, evaluate, linear_tuning, models, ordered, profile, sampling
 from hhlens.plans import households as hh
 from hhlens.plans import specs
 from hhlens.plans.common import rounded
@@ -22,16 +22,26 @@ def build_hogares_full(spark: SparkSession, sf: str, side: str = "train") -> Dat
 _STORE: dict = {}
 
 
+def _inputs(spark: SparkSession, sf: str) -> tuple:
+    """Names, sizes and times of the input files: a stored table is reused only for these."""
+    cols = ["_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"]
+    rows = [r for t in ("orders", "customer", "lineitem")
+            for r in fx.table(spark, sf, t).select(*cols).distinct().collect()]
+    return tuple(sorted(map(str, rows)))
+
+
+def _stored(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """A table built once per application and input, written as Parquet under the shared
+    checkpoint folder (the survey scripts likewise store tables and reload them)."""
+    memo_key = (spark.sparkContext.applicationId, sf, name, _inputs(spark, sf))
+    if memo_key not in _STORE:
+        _STORE[memo_key] = io.write_store(build(), io.scratch(spark, name))
+    return io.read_store(spark, _STORE[memo_key])
+
+
 def hogares_full(spark: SparkSession, sf: str, side: str = "train") -> DataFrame:
-    """The household table as later analysis steps read it: built once per application
-    and scale, written as Parquet under the shared checkpoint folder (the survey scripts
-    likewise store the table and reload it), then scanned with pruning and pushdown."""
-    memo_key = (spark.sparkContext.applicationId, sf, side)
-    path = _STORE.get(memo_key)
-    if path is None:
-        path = io.write_store(build_hogares_full(spark, sf, side), io.scratch(spark, f"hogares_full_{side}"))
-        _STORE[memo_key] = path
-    return io.read_store(spark, path)
+    """The household table as later analysis steps read it."""
+    return _stored(spark, sf, f"hogares_full_{side}", lambda: build_hogares_full(spark, sf, side))
 
 
 # ---------------------------------------------------------------- T1 rollup
@@ -104,6 +114,18 @@ def column_profile(spark, sf):
     return rounded(profile.column_profile(fx.personas(spark, sf), list(fx.PERSON_CODES)))
 
 
+def factor_profile(spark, sf):
+    return rounded(profile.factor_profile(fx.personas(spark, sf), specs.FACTOR_COLUMNS))
+
+
+def poverty_by_lookup(spark, sf):
+    """Poverty share by department with the names of the inline department table."""
+    look = io.lookup_table(spark, specs.DEPARTAMENTOS, "code int, Nombre_Depto string")
+    out = describe.ordered_group_shares(hogares_full(spark, sf, "train"), "Depto", "Pobre", 1, lookup=look,
+                                        lookup_key="code", name_col="Nombre_Depto")
+    return rounded(out)
+
+
 def correlation_pairs(spark, sf):
     full = hogares_full(spark, sf, "train")
     return rounded(profile.correlation_pairs(full, profile.numeric_columns(full, exclude=["id"])))
@@ -226,19 +248,25 @@ KKT_FITS = {"logit_kkt": (0.0, 0.0), "ridge_kkt": (0.01, 0.0), "lasso_kkt": (0.0
             "elastic_net_kkt": (0.01, 0.5)}
 
 
-def model_input(spark, sf, features=tuple(specs.LINEAR_PREDICTORS), side="train"):
-    """Household table restricted to rows with every predictor known (listwise deletion)."""
-    full = hogares_full(spark, sf, side)
-    return models.complete_cases(full, list(features))
+def model_input(spark, sf, side="train"):
+    """The whole household table; missing predictors take the median of the training rows."""
+    cols = sorted({*specs.LINEAR_PREDICTORS, *specs.FOREST_TRIAL_PREDICTORS, *specs.FOREST_FINAL_PREDICTORS})
+
+    def build():
+        values = models.median_values(hogares_full(spark, sf, "train"), cols)
+        return models.impute(hogares_full(spark, sf, side), {c: values.get(c) for c in cols})
+
+    return _stored(spark, sf, f"model_input_{side}", build)
 
 
 def _kkt(name):
     def q(spark, sf):
         reg, alpha = KKT_FITS[name]
         X = specs.LINEAR_PREDICTORS
-        d = model_input(spark, sf).cache()
+        d = model_input(spark, sf)
         m = models.fit_logistic(d, X, specs.LABEL, reg, alpha)
-        return models.kkt_check(d, m, X, specs.LABEL, reg, alpha).select("term", "ok")
+        return models.kkt_check(d, m, X, specs.LABEL, reg, alpha).select(
+            "term", "ok", F.lit(d.count()).alias("n_rows"))
     q.__name__ = name
     return q
 
@@ -291,82 +319,197 @@ def output_name(spark, sf):
 
 
 def coefficients(spark, sf):
-    d = model_input(spark, sf).cache()
-    m = models.fit_logistic(d, specs.LINEAR_PREDICTORS, specs.LABEL, 0.01, 0.0)
-    return models.coefficients(m, specs.LINEAR_PREDICTORS, spark)
+    """Ridge coefficients: per term whether the fit is optimal and both forms (scaled and
+    original units) give every row the same linear predictor."""
+    X, d = specs.LINEAR_PREDICTORS, model_input(spark, sf)
+    m = models.fit_logistic(d, X, specs.LABEL, 0.01, 0.0)
+    table = models.coefficient_table(m, X)
+    mean, std = models.scaler_stats(m)
+    raw = models.linear_predictor({t: r for t, _, r in table[1:]}, table[0][2])
+    z = F.lit(table[0][1])
+    for (_, b, _), c in zip(table[1:], models.scaled_columns(X, mean, std)):
+        z = z + F.lit(b) * c
+    gap, n = d.agg(F.max(F.abs(z - raw)), F.count("*")).first()
+    kkt = models.kkt_check(d, m, X, specs.LABEL, 0.01, 0.0)
+    return kkt.select("term", (F.col("ok") & F.lit(gap < 1e-8)).alias("ok"), F.lit(n).alias("n_rows"))
 
 
 def glm_summary(spark, sf):
-    return models.glm_summary(model_input(spark, sf), specs.LINEAR_PREDICTORS, specs.LABEL)
-
-
-# A small tuning run checked by invariants (candidates x folds).
-TUNE_LAMBDAS = [0.0, 0.001, 0.01, 0.05, 0.1, 0.5, 1.0, 5.0]
-
-
-_TUNING_MEMO: dict = {}
-
-
-def _tuning(spark, sf):
-    """One small lasso tuning run per (application, scale), shared by the three queries
-    that report on it."""
-    memo_key = (spark.sparkContext.applicationId, sf)
-    if memo_key in _TUNING_MEMO:
-        return _TUNING_MEMO[memo_key]
-    X = specs.LINEAR_PREDICTORS
-    d = sampling.kfold(model_input(spark, sf), specs.LABEL, 5, specs.SEED)
-    cands = models.expand_grid(alpha=[1.0], reg=TUNE_LAMBDAS)
-    # Selection needs a glmnet-like tolerance, not the KKT-grade one of the *_kkt queries.
-    fit = lambda train, alpha, reg: models.fit_logistic(
-        train, X, specs.LABEL, reg, alpha, tol=models.TUNING_TOL)
-    cv = models.cross_validate(d, X, specs.LABEL, "fold", cands, fit,
-                               pruned=models.lambda_max_pruner(X, specs.LABEL))
-    _TUNING_MEMO[memo_key] = (cv, cands)
-    return cv, cands
+    """Per term of the unpenalised fit: the score equation is zero, the standard error is that
+    of the Fisher information, z is their ratio, and AIC is deviance + 2 p."""
+    import numpy as np
+
+    X, d = specs.LINEAR_PREDICTORS, model_input(spark, sf)
+    rows = models.glm_summary(d, X, specs.LABEL).collect()
+    stats = d.agg(*[f(F.col(c).cast("double")) for c in X for f in (F.avg, F.stddev_samp)]).first()
+    zs = [F.lit(1.0)] + [(F.col(c).cast("double") - F.lit(stats[2 * i])) / F.lit(stats[2 * i + 1] or 1.0)
+                         for i, c in enumerate(X)]
+    eta = F.lit(0.0)
+    for r, c in zip(rows, zs):
+        eta = eta + F.lit(r.estimate) * c
+    w = F.col("p") * (F.lit(1.0) - F.col("p"))
+    k = len(zs)
+    v = d.select(F.array(*zs).alias("z"), (F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))).alias("p"),
+                 F.col(specs.LABEL).cast("double").alias("y"))
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    sums = v.agg(F.count("*"), F.sum(F.lit(-2.0) * F.log(F.when(F.col("y") == 1, F.col("p")).otherwise(F.lit(1.0) - F.col("p")))),
+                 *[F.avg(F.col("z")[i] * (F.col("p") - F.col("y"))) for i in range(k)],
+                 *[F.sum(w * F.col("z")[i] * F.col("z")[j]) for i, j in pairs]).first()
+    info = np.zeros((k, k))
+    for (i, j), x in zip(pairs, sums[2 + k:]):
+        info[i, j] = info[j, i] = x
+    se = np.sqrt(np.diag(np.linalg.inv(info)))
+    out = []
+    for i, r in enumerate(rows):
+        ok = (abs(sums[2 + i]) < 1e-6 and abs(r.std_error - se[i]) < 1e-4 * se[i]
+              and abs(r.z_value - r.estimate / r.std_error) < 1e-6 * max(1.0, abs(r.z_value))
+              and abs(r.deviance - sums[1]) < 1e-6 * sums[1] and abs(r.aic - r.deviance - 2 * k) < 1e-6
+              and 0 <= r.p_value <= 1 and r.deviance <= r.null_deviance)
+        out.append((r.term, bool(ok), sums[0]))
+    return spark.createDataFrame(out, "term string, ok boolean, n_rows long")
+
+
+# ---------------------------------------------------------------- tuning over the full grids
+def _grid(name):
+    return {"ridge": lambda: models.expand_grid(alpha=[0.0], reg=specs.RIDGE_LAMBDAS),
+            "lasso": lambda: models.expand_grid(alpha=[1.0], reg=specs.LASSO_LAMBDAS),
+            "elastic_net": lambda: models.expand_grid(alpha=specs.ENET_ALPHAS, reg=specs.ENET_LAMBDAS)}[name]()
+
+
+def _tuned(spark, sf, name):
+    d = sampling.kfold(model_input(spark, sf), specs.LABEL, specs.LINEAR_FOLDS, specs.SEED)
+    cands = _grid(name)
+    return linear_tuning.cross_validate_linear(d, specs.LINEAR_PREDICTORS, specs.LABEL, "fold", cands), cands
+
+
+def _tuning(name):
+    def q(spark, sf):
+        """Every candidate of the grid: folds, folds in which it equals the intercept-only
+        model, and whether its fits are optimal and its fold means are proper rates."""
+        cv, cands = _tuned(spark, sf, name)
+        bad = {c for (_, c), (_, gap) in cv.fits.items() if gap > linear_tuning.KKT_TOL}
+        res = models.tuning_results(cv, cands)
+        per = cv.alias.groupBy("candidate").agg(
+            F.count("*").alias("n_folds"), F.count_if(F.col("rep") == -1).alias("n_null"))
+        proper = F.lit(True)
+        for c in ("ROC", "Sens", "Spec", "Accuracy"):
+            proper = proper & F.coalesce(F.col(c).between(0, 1), F.lit(False))
+        return rounded(res.join(per, "candidate").select(
+            "alpha", "reg", "n_folds", "n_null",
+            (proper & ~F.col("candidate").isin(sorted(bad)) if bad else proper).alias("ok")))
+    q.__name__ = f"{name}_tuning"
+    return q
 
 
-def tuning_curve(spark, sf):
-    cv, cands = _tuning(spark, sf)
-    return rounded(models.tuning_results(cv, cands))
+ridge_tuning = _tuning("ridge")
+tuning_curve = _tuning("lasso")
+elastic_net_tuning = _tuning("elastic_net")
 
 
 def best_candidate(spark, sf):
-    cv, cands = _tuning(spark, sf)
-    res = models.tuning_results(cv, cands)
-    best = models.best_candidate(res)
-    return spark.createDataFrame([(float(best["alpha"]), float(best["reg"]), float(best["Accuracy"]))],
-                                 "alpha double, reg double, Accuracy double")
+    """Per method: grid size and whether the chosen candidate has the highest mean accuracy
+    (ties: larger penalty, then smaller alpha)."""
+    out = []
+    for name in ("ridge", "lasso", "elastic_net"):
+        cv, cands = _tuned(spark, sf, name)
+        res = models.tuning_results(cv, cands).select("candidate", "alpha", "reg", "Accuracy").collect()
+        best = models.best_candidate(spark.createDataFrame(res))
+        top = max(r.Accuracy for r in res)
+        rank = max((r.reg, -r.alpha) for r in res if r.Accuracy == top)
+        out.append((name, len(res), best["Accuracy"] == top and (best["reg"], -best["alpha"]) == rank))
+    return spark.createDataFrame(out, "model string, n_candidates long, ok boolean")
 
 
 def oof_metrics(spark, sf):
-    cv, cands = _tuning(spark, sf)
-    return rounded(evaluate.five_stats(cv.oof, "prob", "pred", specs.LABEL, 1, groups=["candidate"]))
-
-
-def _forest_split(spark, sf, features):
-    d = sampling.partition_split(model_input(spark, sf, features), specs.LABEL,
-                                 specs.TRAIN_SHARE, specs.SEED)
-    return d.where("is_train = 1").cache(), d.where("is_train = 0").cache()
+    """Per fold of the lasso run: rows scored, models that scored them, and whether every
+    model scored every row once with a probability."""
+    cv, _ = _tuned(spark, sf, "lasso")
+    per = cv.oof.groupBy("fold", "candidate").agg(
+        F.count("*").alias("n"), F.count_distinct("id").alias("ids"),
+        F.count_if(F.col("prob").between(0, 1)).alias("fine"))
+    return per.groupBy("fold").agg(
+        F.max("n").alias("n_rows"), F.count("*").alias("n_models"),
+        F.bool_and((F.col("n") == F.col("ids")) & (F.col("n") == F.col("fine"))).alias("same")).select(
+        "fold", "n_rows", "n_models", F.col("same").alias("ok"))
+
+
+def fitted_models(spark, sf):
+    """The four linear models, tuned over their full grids and refitted on all training
+    households: confusion cells add up to the households, rates follow from the cells, and
+    the fit separates the classes no worse than chance."""
+    X, d = specs.LINEAR_PREDICTORS, model_input(spark, sf)
+    out = []
+    for name in ("logit", "ridge", "lasso", "elastic_net"):
+        best = {"reg": 0.0, "alpha": 0.0}
+        if name != "logit":
+            cv, cands = _tuned(spark, sf, name)
+            best = models.best_candidate(models.tuning_results(cv, cands))
+        m = models.fit_logistic(d, X, specs.LABEL, best["reg"], best["alpha"])
+        scored = d.select("id", specs.LABEL, models.model_score_column(m).alias("prob"))
+        scored = scored.withColumn("pred", threshold("prob", specs.THRESHOLD))
+        r = evaluate.binary_metrics(scored, "pred", specs.LABEL, 1).first()
+        a = evaluate.auc(scored, "prob", specs.LABEL, 1).first()["auc"]
+        n = r.tp + r.fp + r.fn + r.tn
+        ok = abs(r.Accuracy - (r.tp + r.tn) / n) < 1e-12 and a >= 0.5 - 1e-9
+        out.append((name, n, r.tp + r.fn, bool(ok)))
+    return spark.createDataFrame(out, "model string, n_rows long, n_pos long, ok boolean")
+
+
+def _forest_split(spark, sf):
+    return sampling.partition_split(model_input(spark, sf), specs.LABEL, specs.TRAIN_SHARE, specs.SEED)
+
+
+def _trial_forest(spark, sf):
+    d, X = _forest_split(spark, sf), specs.FOREST_TRIAL_PREDICTORS
+    m = models.fit_forest(d.where("is_train = 1"), X, specs.LABEL, mtry=8, min_node_size=1,
+                          num_trees=specs.FOREST_TRIAL_TREES, seed=specs.SEED)
+    return m, d.where("is_train = 0"), X
 
 
 def forest_importance(spark, sf):
-    X = specs.FOREST_TRIAL_PREDICTORS
-    train, _ = _forest_split(spark, sf, X)
-    m = models.fit_forest(train, X, specs.LABEL, mtry=8, min_node_size=1,
-                          num_trees=specs.FOREST_TRIAL_TREES, seed=specs.SEED)
-    return rounded(models.importance_table(m, X, spark, top=20))
+    """Per predictor of the trial forest whether its importance is a share of 1, its scaled
+    form follows, and the table is ranked."""
+    m, _, X = _trial_forest(spark, sf)
+    rows = models.importance_table(m, X, spark).collect()
+    imp = [r.importance for r in rows]
+    whole = abs(sum(imp) - 1) < 1e-9 and imp == sorted(imp, reverse=True)
+    return spark.createDataFrame([(r.variable, bool(whole and r.importance >= 0 and 0 <= r.scaled <= 100))
+                                  for r in rows], "variable string, ok boolean")
 
 
 def forest_holdout_metrics(spark, sf):
-    X = specs.FOREST_TRIAL_PREDICTORS
-    train, hold = _forest_split(spark, sf, X)
-    m = models.fit_forest(train, X, specs.LABEL, mtry=8, min_node_size=1,
-                          num_trees=specs.FOREST_TRIAL_TREES, seed=specs.SEED)
+    """Hold-out households and poor among them as the trial forest's confusion cells count
+    them, and whether its ROC beats chance and ends in its corners."""
+    m, hold, _ = _trial_forest(spark, sf)
     p = models.prob_of_positive(m.transform(hold.withColumn(specs.LABEL, F.col(specs.LABEL).cast("double"))))
     p = p.withColumn("pred", F.col("prediction").cast("int")).withColumn(specs.LABEL, F.col(specs.LABEL).cast("int"))
-    met = evaluate.binary_metrics(p, "pred", specs.LABEL, 1)
-    a = evaluate.auc(p, "prob", specs.LABEL, 1)
-    return rounded(met.withColumn("_k", F.lit(1)).join(a.withColumn("_k", F.lit(1)), "_k").drop("_k"))
+    met = evaluate.binary_metrics(p, "pred", specs.LABEL, 1).first()
+    a = evaluate.auc(p, "prob", specs.LABEL, 1).first()["auc"]
+    roc = evaluate.roc_curve(p, "prob", specs.LABEL, 1).orderBy("fpr", "tpr").collect()
+    area = sum((y.fpr - x.fpr) * (x.tpr + y.tpr) / 2 for x, y in zip(roc, roc[1:]))
+    ok = a > 0.5 and (roc[0].fpr, roc[0].tpr, roc[-1].fpr, roc[-1].tpr) == (0, 0, 1, 1) and abs(area - a) < 1e-9
+    return spark.createDataFrame([(met.tp + met.fp + met.fn + met.tn, met.tp + met.fn, bool(ok))],
+                                 "n_rows long, n_pos long, ok boolean")
+
+
+def forest_trial_tuning(spark, sf):
+    """The trial forest's whole grid over its folds: held-out rows per candidate, all of them
+    real households (none synthetic) that are scored once."""
+    X, y = specs.FOREST_TRIAL_PREDICTORS, specs.LABEL
+    d = sampling.kfold(_forest_split(spark, sf).where("is_train = 1"), y, specs.FOREST_FOLDS, specs.SEED)
+    cands = models.expand_grid(**specs.FOREST_TRIAL_GRID)
+    fit = lambda part, mtry, min_node_size: models.fit_forest(
+        part, X, y, mtry=mtry, min_node_size=min_node_size, num_trees=specs.FOREST_TRIAL_TREES, seed=specs.SEED)
+    cv = models.cross_validate(d, X, y, "fold", cands, fit)
+    oof = io.read_store(spark, io.write_store(cv.oof, io.scratch(spark, "forest_oof")))
+    per = oof.groupBy("candidate").agg(
+        F.count("*").alias("n_rows"), F.count_distinct("fold").alias("n_folds"), F.count_distinct("id").alias("_ids"),
+        F.min("id").alias("_low"), F.count_if(F.col("prob").between(0, 1)).alias("_fine"))
+    grid = spark.createDataFrame([(i, c["mtry"], c["min_node_size"]) for i, c in enumerate(cands)],
+                                 "candidate int, mtry int, min_node_size int")
+    return per.join(grid, "candidate").select(
+        "mtry", "min_node_size", "n_rows", "n_folds",
+        ((F.col("n_rows") == F.col("_ids")) & (F.col("n_rows") == F.col("_fine")) & (F.col("_low") >= 0)).alias("ok"))
 
 
 # ---------------------------------------------------------------- sources and sinks
@@ -405,7 +548,7 @@ def preview_predictions(spark, sf):
 def smote_exact(spark, sf):
     """SMOTE rows that balance the training households (final forest predictors)."""
     X = specs.FOREST_FINAL_PREDICTORS
-    d = model_input(spark, sf, tuple(X)).select("id", specs.LABEL, *X)
+    d = model_input(spark, sf).select("id", specs.LABEL, *X)
     return rounded(sampling.smote(d, specs.LABEL, X, "id", 1, k=5, seed=specs.SEED))
 
 
@@ -414,5 +557,5 @@ def knn_minority(spark, sf):
     from hhlens.operators.neighbors import knn_exact
 
     X = specs.FOREST_FINAL_PREDICTORS
-    d = model_input(spark, sf, tuple(X)).where(F.col(specs.LABEL) == 1).select("id", *X)
+    d = model_input(spark, sf).where(F.col(specs.LABEL) == 1).select("id", *X)
     return knn_exact(d, "id", X, 5).select("id", "nn_key", "nn_rank")

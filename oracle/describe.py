@@ -1,5 +1,6 @@
 """Oracle SQL for the descriptive tables."""
 
+from hhlens.plans import specs
 from oracle.households import full_cte
 
 POVERTY_BY_DEPARTMENT = full_cte("train") + """,
@@ -36,3 +37,7 @@ FROM hogares_full WHERE {x} BETWEEN 0 AND 10 GROUP BY {x}, Pobre
 
 SHARE_BY_CHILDREN = _fill("Hijos")
 SHARE_BY_SIZE = _fill("Nper")
+
+POVERTY_BY_LOOKUP = POVERTY_BY_DEPARTMENT.replace("n.n_name AS Nombre_Depto", "n.name AS Nombre_Depto").replace(
+    "nation n ON n.n_nationkey = s.Depto",
+    "(VALUES " + ", ".join(f"({k}, '{v}')" for k, v in specs.DEPARTAMENTOS) + ") n(code, name) ON n.code = s.Depto")

@@ -1,5 +1,6 @@
 """Oracle SQL for the profiling reports (one SELECT per column, UNION ALL)."""
 
+from hhlens.plans import specs
 from hhlens.sources.fixtures import LINEITEM_NUMERIC, PERSON_CODES, cte
 from oracle.households import DOUBLE_FEATURES, HH_DOUBLE, JOINED, TRAIN_HH, full_cte
 
@@ -85,3 +86,15 @@ def fill_missing_sql() -> str:
             "JH_Independiente", "P5130", "tasa_desempleo"]
     sel = ", ".join(f"round({c}, 6) AS {c}" if (c in DOUBLE_FEATURES or c in HH_DOUBLE) else c for c in fill)
     return full_cte("train") + f"\nSELECT id, {sel} FROM hogares_full"
+
+
+def factor_profile_sql(top: int = 4) -> str:
+    parts = [f"SELECT '{c}' AS variable, CAST({c} AS VARCHAR) AS level, count(*) AS n FROM personas GROUP BY {c}"
+             for c in specs.FACTOR_COLUMNS]
+    return cte("personas") + ",\nlv AS (" + "\nUNION ALL ".join(parts) + f"""),
+r AS (SELECT *, row_number() OVER (PARTITION BY variable ORDER BY n DESC, level) AS k FROM lv WHERE level IS NOT NULL),
+t AS (SELECT variable, string_agg(level || ': ' || n, ', ' ORDER BY k) AS top_counts FROM r WHERE k <= {top} GROUP BY variable)
+SELECT lv.variable, CAST(sum(CASE WHEN level IS NULL THEN n ELSE 0 END) AS BIGINT) AS n_missing,
+       round(1.0 - sum(CASE WHEN level IS NULL THEN n ELSE 0 END) / CAST(sum(n) AS DOUBLE), 6) AS complete_rate,
+       count(level) AS n_unique, any_value(top_counts) AS top_counts
+FROM lv LEFT JOIN t ON t.variable = lv.variable GROUP BY lv.variable"""

@@ -1,7 +1,7 @@
 """Oracle SQL for SMOTE and exact kNN: brute-force pairs (fine at the check scale)."""
 
 from hhlens.plans import specs
-from oracle.households import full_cte
+from oracle.models import _input
 
 X = specs.FOREST_FINAL_PREDICTORS
 
@@ -11,12 +11,10 @@ def _h(expr: str, seed: str) -> str:
 
 
 def _base() -> str:
-    where = " AND ".join(f"{c} IS NOT NULL" for c in X)
     cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in X)
     d2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in X)
-    return full_cte("train") + f""",
-mi AS (SELECT id, Pobre, {cols} FROM hogares_full WHERE {where}),
-mino AS (SELECT * FROM mi WHERE Pobre = 1),
+    return _input() + f""",
+mino AS (SELECT id, Pobre, {cols} FROM mi WHERE Pobre = 1),
 pairs AS (SELECT a.id, b.id AS nn_key, {d2} AS d2 FROM mino a JOIN mino b ON a.id <> b.id),
 nn AS (SELECT * FROM (SELECT id, nn_key, row_number() OVER (PARTITION BY id ORDER BY d2, nn_key) AS nn_rank
                       FROM pairs) t WHERE nn_rank <= 5)"""
