@@ -2,6 +2,6 @@
 
 from hhlens.functions.recode import (  # noqa: F401
     any_nonzero, decode, dummy, flag, guard, inset, is_missing, null_guarded,
-    safe_ratio, square, threshold, value_where,
+    square, threshold,
 )
-from hhlens.functions.randomness import portable_hash, unit_uniform  # noqa: F401
+from hhlens.functions.randomness import portable_hash  # noqa: F401

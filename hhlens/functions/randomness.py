@@ -18,14 +18,3 @@ def portable_hash(key, seed) -> Column:
     k = F.col(key) if isinstance(key, str) else key
     s = F.concat(k.cast("string"), F.lit("|"), F.lit(str(seed)))
     return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint")
-
-
-def unit_uniform(key, seed) -> Column:
-    """Number in [0, 1) from ``portable_hash`` / 2^32."""
-    return portable_hash(key, seed).cast("double") / F.lit(4294967296.0)
-
-
-def sql_portable_hash(key_sql: str, seed) -> str:
-    """SQL text of ``portable_hash`` (valid in Spark SQL)."""
-    return (f"CAST(conv(substring(md5(concat(CAST({key_sql} AS STRING), '|', '{seed}')), 1, 8), 16, 10)"
-            " AS BIGINT)")

@@ -6,7 +6,6 @@ R and Spark disagree on NULL in a few places; every helper here states the rule
 * ``flag``    - ``as.numeric(x == v)`` keeps NA, so the flag stays NULL.
 * ``guard``   - ``ifelse(is.na(x), 0, x)``.
 * ``null_guarded`` - ``ifelse(is.na(a), 0, expr)``: a test on one column, value of another.
-* ``safe_ratio`` - ``a / b`` where 0/0 must not raise under ANSI; NULL instead of NaN.
 """
 
 from __future__ import annotations
@@ -63,15 +62,6 @@ def dummy(x, level) -> Column:
     return F.when(c == F.lit(level), F.lit(1.0)).when(c.isNotNull(), F.lit(0.0))
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
-    """Division that yields NULL (not an ANSI error, not NaN) when the divisor is 0."""
-    return F.try_divide(num.cast("double"), den.cast("double"))
-
-
-def value_where(pred: Column, x) -> Column:
-    """``x`` on rows where ``pred`` holds, NULL elsewhere: the building block of
-    conditional aggregates (``sum(value_where(head, x))`` == ``sum(x) FILTER (WHERE head)``)."""
-    return F.when(pred, _c(x))
 
 
 def any_nonzero(x) -> Column:

@@ -69,10 +69,6 @@ def ordered_group_shares(df: DataFrame, group: str, label: str, positive=1,
     return out.withColumn("Prop_label", F.concat(label_txt, F.lit("%")))
 
 
-def log10_positive(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """``scale_x_log10``: zero and negative values have no logarithm and are dropped."""
-    return df.where(F.col(col) > 0).withColumn(out or col, F.log10(F.col(col)))
-
 
 def _bw_nrd0(sd: Column, q1: Column, q3: Column, n: Column) -> Column:
     """Silverman's rule of thumb 0.9 * min(sd, IQR/1.34) * n^(-1/5), falling back to sd and

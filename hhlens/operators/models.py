@@ -50,7 +50,6 @@ from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql.types import DoubleType  # noqa: E402
 
 INTERCEPT = "(Intercept)"
-TUNING_TOL = 1e-7     # convergence tolerance of tuning fits (selection, not optimality checks)
 
 
 def complete_cases(df: DataFrame, cols: Sequence[str], missing: str) -> DataFrame:
@@ -350,16 +349,15 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold_col:
 def lambda_max_pruner(features: Sequence[str], label: str):
     """``pruned`` callback for ``cross_validate``: lambda >= lambda_max(alpha) of the fold's
     training rows (alpha > 0).  One aggregate per fold, remembered across candidates."""
-    memo = {}
+    memo: dict = {}
 
     def pruned(train: DataFrame, cand: dict) -> bool:
         a, lam = float(cand.get("alpha", 0.0)), float(cand.get("reg", 0.0))
         if a <= 0 or lam <= 0:
             return False
-        k = id(train)
-        if k not in memo:
-            memo[k] = null_gradients(train, features, label).agg(F.max("gradient")).first()[0]
-        return lam >= memo[k] / a
+        if memo.get("train") is not train:      # the frame itself is held, so its id is not reused
+            memo.update(train=train, gmax=null_gradients(train, features, label).agg(F.max("gradient")).first()[0])
+        return lam >= memo["gmax"] / a
 
     return pruned
 

@@ -36,6 +36,7 @@ except Exception:  # noqa: BLE001
 
 BUCKET_ROWS = 20_000
 _CHUNK = 512
+MAX_BUCKETS = 5_000_000
 
 
 def _knn_block(q_ids, q_x, r_ids, r_x, k: int):
@@ -50,17 +51,27 @@ def _knn_block(q_ids, q_x, r_ids, r_x, k: int):
             d2 += diff * diff
         qi = q_ids[s:s + _CHUNK]
         d2[qi[:, None] == r_ids[None, :]] = np.inf
-        for row in range(len(qx)):
+        known = np.isfinite(d2).sum(axis=1)
+        plain = np.flatnonzero((known >= k) & (d2.shape[1] > k))
+        tied = np.setdiff1d(np.arange(len(qx)), plain)
+        if len(plain):
+            near = np.argpartition(d2[plain], k - 1, axis=1)[:, :k]
+            dn = np.take_along_axis(d2[plain], near, axis=1)
+            full = (d2[plain] <= dn.max(axis=1)[:, None]).sum(axis=1) > k
+            tied = np.r_[tied, plain[full]]         # a tie at the k-th distance: by ref id below
+            near, dn, rows = near[~full], dn[~full], plain[~full]
+            order = np.lexsort((r_ids[near], dn), axis=1)
+            out_q.append(np.repeat(qi[rows], k))
+            out_n.append(np.take_along_axis(r_ids[near], order, axis=1).ravel())
+            out_d.append(np.take_along_axis(dn, order, axis=1).ravel())
+        for row in tied:
             dr = d2[row]
-            kk = min(k, int(np.isfinite(dr).sum()))
+            kk = min(k, int(known[row]))
             if kk <= 0:
                 continue
-            cand = np.argpartition(dr, kk - 1)[:kk] if kk < len(dr) else np.arange(len(dr))
-            # include every ref tied with the k-th distance, then order by (distance, id)
-            kth = dr[cand].max()
-            cand = np.nonzero(dr <= kth)[0]
-            order = np.lexsort((r_ids[cand], dr[cand]))[:kk]
-            sel = cand[order]
+            kth = np.partition(dr, kk - 1)[kk - 1]
+            cand = np.flatnonzero(dr <= kth)
+            sel = cand[np.lexsort((r_ids[cand], dr[cand]))[:kk]]
             out_q.append(np.full(kk, qi[row]))
             out_n.append(r_ids[sel])
             out_d.append(dr[sel])
@@ -116,11 +127,19 @@ def knn_exact(df: DataFrame, key: str, features: Sequence[str], k: int = 5,
     q = (pts.join(rad, pts["_id"] == rad["_q"], "left").drop("_q")
          .withColumn("_r", F.when(F.col("_m") >= k, F.sqrt("_r2") * F.lit(1 + 1e-9) + F.lit(1e-12))
                      .otherwise(F.lit(float("inf")))))
-    his_a = F.array(*[F.lit(float(v)) for v in his])
-    los_a = F.array(*[F.lit(float(v)) for v in los])
-    first_t = F.size(F.filter(his_a, lambda h: h < F.col("_p") - F.col("_r")))
-    last_t = F.size(F.filter(los_a, lambda lo: lo <= F.col("_p") + F.col("_r"))) - 1
-    queries = (q.withColumn("_t", F.explode(F.sequence(first_t.cast("bigint"), last_t.cast("bigint"))))
+    # Two numbers per bucket, as a broadcast table for binary search: the count is checked.
+    if len(bounds) > MAX_BUCKETS:
+        raise ValueError(f"{len(bounds)} buckets: raise bucket_rows")
+    sent = df.sparkSession.sparkContext.broadcast((np.array(los), np.array(his)))
+
+    @F.pandas_udf("first bigint, last bigint")
+    def band(p: pd.Series, r: pd.Series) -> pd.DataFrame:
+        low, high = sent.value
+        return pd.DataFrame({"first": np.searchsorted(high, p - r, side="left"),
+                             "last": np.searchsorted(low, p + r, side="right") - 1})
+
+    q = q.withColumn("_band", band("_p", "_r"))
+    queries = (q.withColumn("_t", F.explode(F.sequence("_band.first", "_band.last")))
                .where(F.col("_t") != F.col("_b"))
                .select(F.col("_t").alias("_b"), "_id", *feats, F.lit(1).alias("_is_q")))
     refs = pts.select("_b", "_id", *feats, F.lit(0).alias("_is_q"))

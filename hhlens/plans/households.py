@@ -11,7 +11,7 @@ from hhlens.plans import specs
 
 
 def person_features(persons: DataFrame, names: Sequence[str] | None = None,
-                    member_order: Sequence[str] = ("l_partkey", "l_suppkey", "l_extendedprice"),
+                    *, member_order: Sequence[str],
                     key: str = specs.KEY, split_member: bool = True) -> DataFrame:
     """All (or the named) household features from the person table, one row per household
     that has at least one person."""
@@ -22,11 +22,11 @@ def person_features(persons: DataFrame, names: Sequence[str] | None = None,
     return rollup(persons, key, feats, specs.head_pred(), list(member_order), split_member)
 
 
-def household_table(persons: DataFrame, households: DataFrame,
-                    member_order: Sequence[str] = ("l_partkey", "l_suppkey", "l_extendedprice"),
+def household_table(persons: DataFrame, households: DataFrame, *, member_order: Sequence[str],
                     joined: Sequence[str] = tuple(specs.JOINED), key: str = specs.KEY,
                     split_member: bool = True) -> DataFrame:
     """``*_hogares_full``: households minus the dropped columns, plus the merged features,
     with the named columns filled with 0 (households without persons keep NULL elsewhere)."""
-    feats = person_features(persons, joined, member_order, key, split_member).select(key, *joined)
+    feats = person_features(persons, joined, member_order=member_order, key=key,
+                            split_member=split_member).select(key, *joined)
     return attach(households, feats, key, drop=specs.DROPPED, fill_zero=specs.FILL_ZERO)

@@ -37,7 +37,7 @@ def build_household_tables(persons_train: DataFrame, hogares_train: DataFrame,
     """Both household tables written once to the store; later steps read them back."""
     paths = {}
     for side, p, h in (("train", persons_train, hogares_train), ("test", persons_test, hogares_test)):
-        paths[side] = io.write_store(hh.household_table(p, h, member_order), f"{out}/{side}_hogares_full")
+        paths[side] = io.write_store(hh.household_table(p, h, member_order=member_order), f"{out}/{side}_hogares_full")
     return paths
 
 
@@ -175,8 +175,7 @@ def main(argv=None) -> None:
     paths = build_household_tables(persons, fx.hogares(spark, a.sf_dir, "train"), persons,
                                    fx.hogares(spark, a.sf_dir, "test"), out, fx.HEAD_ORDER)
     train, test = io.read_store(spark, paths["train"]), io.read_store(spark, paths["test"])
-    nation = fx.table(spark, a.sf_dir, "nation")
-    for name, df in describe_households(train, nation, "n_nationkey", "n_name").items():
+    for name, df in describe_households(train, department_lookup(spark), "Depto", "Nombre_Depto").items():
         io.write_store(df, f"{out}/describe_{name}")
     report = {"tables": paths, "linear": linear_models(train, test, out, quick=a.quick),
               "forest": random_forest(train, test, out, quick=a.quick)}

@@ -16,7 +16,8 @@ from hhlens.sources import io
 
 
 def build_hogares_full(spark: SparkSession, sf: str, side: str = "train") -> DataFrame:
-    return hh.household_table(fx.personas(spark, sf), fx.hogares(spark, sf, side))
+    return hh.household_table(fx.personas(spark, sf), fx.hogares(spark, sf, side),
+                              member_order=fx.HEAD_ORDER)
 
 
 _STORE: dict = {}
@@ -55,12 +56,12 @@ def household_rollup_test(spark, sf):
 
 def head_features(spark, sf):
     names = [f.name for f in specs.features() if f.scope == "member"]
-    return rounded(hh.person_features(fx.personas(spark, sf), names))
+    return rounded(hh.person_features(fx.personas(spark, sf), names, member_order=fx.HEAD_ORDER))
 
 
 def member_features(spark, sf):
     names = [f.name for f in specs.features() if f.scope == "all"]
-    return rounded(hh.person_features(fx.personas(spark, sf), names))
+    return rounded(hh.person_features(fx.personas(spark, sf), names, member_order=fx.HEAD_ORDER))
 
 
 # ---------------------------------------------------------------- T4 description

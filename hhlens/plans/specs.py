@@ -127,7 +127,6 @@ LABEL = "Pobre"
 
 # Label decoding and the department lookup of the description script.
 POBRE_LABELS = {0: "No Pobres", 1: "Pobres"}
-HEAD_SEX_LABELS = {0: "Hombre", 1: "Mujer"}
 DEPARTAMENTOS = [
     (5, "ANTIOQUIA"), (8, "ATLANTICO"), (11, "BOGOTA"), (13, "BOLIVAR"), (15, "BOYACA"),
     (17, "CALDAS"), (18, "CAQUETA"), (19, "CAUCA"), (20, "CESAR"), (23, "CORDOBA"),

@@ -32,8 +32,8 @@ def test_no_predicted_positives_gives_null_precision(spark):
 def test_roc_steps_once_per_score_and_auc_ties(spark):
     df = _scores(spark, [(1, 1, 0.8), (2, 0, 0.8), (3, 1, 0.3), (4, 0, 0.1)])
     roc = evaluate.roc_curve(df, "score", "y").orderBy(F.desc("score")).collect()
-    assert [r["score"] for r in roc] == [0.8, 0.3, 0.1]
-    assert [(r["tpr"], r["fpr"]) for r in roc] == [(0.5, 0.5), (1.0, 0.5), (1.0, 1.0)]
+    assert [r["score"] for r in roc] == [float("inf"), 0.8, 0.3, 0.1]
+    assert [(r["tpr"], r["fpr"]) for r in roc] == [(0.0, 0.0), (0.5, 0.5), (1.0, 0.5), (1.0, 1.0)]
     auc = evaluate.auc(df, "score", "y").first()["auc"]
     assert abs(auc - 0.625) < 1e-12          # pairs: tie 0.5 + 1 + 0 + 1 = 2.5 of 4
 

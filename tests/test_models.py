@@ -46,7 +46,7 @@ def test_cross_validation_results_and_pruning(spark):
 
 
 def test_forest_importance_and_determinism(spark):
-    d = R.model_input(spark, SF001, tuple(specs.FOREST_FINAL_PREDICTORS)).cache()
+    d = R.model_input(spark, SF001).cache()
     X = specs.FOREST_FINAL_PREDICTORS
     m1 = models.fit_forest(d, X, "Pobre", mtry=4, min_node_size=5, num_trees=10, seed=1)
     m2 = models.fit_forest(d, X, "Pobre", mtry=4, min_node_size=5, num_trees=10, seed=1)

@@ -4,12 +4,13 @@ from conftest import households_df, persons_df
 
 from hhlens.plans import households as hh
 from hhlens.plans import specs
+from hhlens.sources.fixtures import HEAD_ORDER
 
 
 def _full(spark, persons, ids, split=True):
     return {r["id"]: r.asDict() for r in
             hh.household_table(persons_df(spark, persons), households_df(spark, ids),
-                               split_member=split).collect()}
+                               member_order=HEAD_ORDER, split_member=split).collect()}
 
 
 def test_household_without_persons(spark):
@@ -82,8 +83,8 @@ def test_split_and_single_aggregate_agree(spark):
     from conftest import SF001
 
     p, h = fx.personas(spark, SF001), fx.hogares(spark, SF001)
-    a = hh.household_table(p, h, split_member=True)
-    b = hh.household_table(p, h, split_member=False)
+    a = hh.household_table(p, h, member_order=fx.HEAD_ORDER, split_member=True)
+    b = hh.household_table(p, h, member_order=fx.HEAD_ORDER, split_member=False)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
