@@ -116,7 +116,8 @@ def filter_urls(pages: DataFrame, listed: DataFrame, url: str = "url",
                      host_of(F.col(f"`{url}`")).alias("host"), path_of(F.col(f"`{url}`")).alias("path"))
     v = verdicts(p.select("host", "path").distinct(), listed)
     # Written, so that the join sees two plain exchanges and can split a hot url's rows.
-    out = p.join(cut_lineage(v), ["host", "path"], "left")
+    # The hits grow with the pages, so they are never broadcast.
+    out = p.join(cut_lineage(v).hint("merge"), ["host", "path"], "left")
     return out.select(*[F.col(names[c]).alias(c) for c in keep if c.lower() not in
                         ("host", "path", "rule", "verdict")],
                       "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
