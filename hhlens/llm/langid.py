@@ -82,7 +82,8 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = _WORD.findall(text.lower()) if text else []
-        if not words or not self.langs:
+        # Some numerals (superscripts, fractions) pass the pattern but are no letters.
+        if not self.langs or not any(c.isalpha() for w in words for c in w):
             return UNKNOWN, 0.0
         if not self.row:
             self._load()
@@ -100,8 +101,8 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MA
     n = rows.count()
     if not n:
         return Model([], [], np.zeros((0, 0)), [], np.zeros((0, 0)))
-    share = max(1, min(1 << 20, round(sample_rows / n * (1 << 20))))
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share).distinct()
+    share = max(1, min(1 << 40, round(sample_rows / n * (1 << 40))))
+    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < F.lit(share)).distinct()
     found = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))
     words = cut_lineage(sample.select("lang", F.explode(found).alias("w")).groupBy("w", "lang")
                         .agg(F.count("*").alias("n")))

@@ -228,6 +228,13 @@ def test_score_is_the_sum_of_log_frequencies(docs_df):
         assert score == pytest.approx(1 / np.exp(total - total.max()).sum())
 
 
+def test_numerals_are_no_letters(docs_df):
+    model = langid.fit(docs_df(corpus()))
+    for text in ("", " \t", "12 34", "\u00b2 \u00bd", "\u2167 7", "_-_", "\U0001f600"):
+        assert model.predict(text) == ("und", 0.0)
+    assert model.predict("\u00b2a")[0] != "und"
+
+
 def test_cache_of_unseen_words_does_not_change_results(docs_df, monkeypatch):
     model = langid.fit(docs_df(corpus()))
     texts = [" ".join(f"ka{chr(97 + i % 26)}{chr(97 + j % 26)}no" for j in range(40)) for i in range(30)]
