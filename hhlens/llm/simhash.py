@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -166,37 +166,33 @@ def _and_end(batches: Iterator) -> Iterator:
     yield None
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, text) -> doc_id, fp (signed long), component_id (smallest doc_id reachable)."""
-    light = cut_lineage(fingerprints(docs.select("doc_id", "text"), shingle=shingle))
-    nodes = light.groupBy("fp").agg(F.min("doc_id").alias("low"))
+def _components(light: DataFrame, low: Column, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, root) of every fingerprint, and (root, low) with the least ``low`` per component."""
+    nodes = light.groupBy("fp").agg(F.min(low).alias("low"))
     roots = connected_components(links(nodes.select("fp"), radius))
     nodes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
-    least = nodes.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = nodes.join(least, "root").select("fp", "component_id")
+    return nodes.select("fp", "root"), nodes.groupBy("root").agg(F.min("low").alias("low"))
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, text) -> doc_id, fp (signed long), component_id (smallest doc_id reachable)."""
+    light = cut_lineage(fingerprints(docs.select("doc_id", "text"), shingle=shingle))
+    nodes, least = _components(light, F.col("doc_id"), radius)
+    named = nodes.join(least, "root").select("fp", F.col("low").alias("component_id"))
     return light.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """One document of each component stays: the one with the smallest id (of repeated rows
-    with that id one; in a component without ids, one row).  Columns as given."""
-    keys = cut_lineage(near_duplicates(docs, radius, shingle))
-    fp, rank = fresh("_fp", docs.columns), fresh("_rank", docs.columns)
-    with_id = docs.where("doc_id is not null").join(
-        keys.where("doc_id = component_id").select("doc_id").distinct(), "doc_id", "left_semi")
-    w = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    with_id = with_id.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
-    orphans = keys.where("component_id is null")
-    if not orphans.take(1):
-        return with_id.select(*docs.columns)
-    # Components without any id: the smallest fingerprint's row of each component stays.
-    roots = connected_components(links(orphans.select("fp").distinct(), radius))
-    other = orphans.select("fp").distinct().join(
-        roots.where("node <> root").select(F.col("node").alias("fp")), "fp", "left_anti")
-    lone = docs.where("doc_id is null").withColumn(rank, F.monotonically_increasing_id())
-    lone = cut_lineage(lone)
-    named = fingerprints(lone.select(rank, "text"), name=fp, shingle=shingle).join(
-        other.withColumnRenamed("fp", fp), fp)
-    first = named.groupBy(fp).agg(F.min(rank).alias(rank)).select(rank)
-    return with_id.select(*docs.columns).union(lone.join(first, rank).select(*docs.columns))
+    """One document of each component stays: the one with the smallest id (rows without an id
+    come last; of rows that share the id the one with the least text hash; of rows that share
+    both one).  An id may thus stay more than once if its rows differ.  Columns as given."""
+    digest = F.xxhash64(F.col("doc_id").isNull(), "text")
+    light = cut_lineage(fingerprints(docs.select("doc_id", digest.alias("digest"), "text"), shingle=shingle))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    least = _components(light, order, radius)[1]
+    key = [fresh("_id", docs.columns), fresh("_digest", docs.columns)]
+    first = cut_lineage(least.select(F.coalesce("low.doc_id", F.lit(0)).alias(key[0]),
+                                     F.col("low.digest").alias(key[1])))
+    rows = docs.withColumns({key[0]: F.coalesce("doc_id", F.lit(0)), key[1]: digest})
+    return rows.join(first, key, "left_semi").dropDuplicates(key).select(*docs.columns)

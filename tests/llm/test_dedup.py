@@ -125,6 +125,14 @@ def test_near_duplicates_and_the_stage(docs_df):
     assert simhash.near_duplicates(docs_df([], "none")).count() == 0
 
 
+def test_the_stage_keeps_one_row_of_each_group_when_ids_repeat(docs_df):
+    text, other = " ".join(f"w{i}" for i in range(400)), " ".join(f"x{i}" for i in range(300))
+    rows = [(3, text), (5, text + " more"), (5, other), (5, other), (6, other), (None, other)]
+    kept = simhash.drop_near_duplicates(docs_df(rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(3, text), (5, other)]
+    assert simhash.drop_near_duplicates(docs_df([], "none")).count() == 0
+
+
 # ---------------------------------------------------------------- suffix arrays
 
 def brute(texts, length):
