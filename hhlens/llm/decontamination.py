@@ -8,10 +8,14 @@ item of n words if some stretch of it is within ``floor((1 - SIMILARITY) * n)``
   strings that are close in Hamming distance.  All window starts of a batch walk together.
 * Bit-sampling: a table takes ``COORDS`` steps of the walk as its key.  Items are indexed and
   windows looked up in tables of their length class, whose steps stay inside an item-sized
-  window.  Tables are added until at least ``RECALL`` of simulated worst-case copies (items
-  with all allowed edits, bounded sample) collide with their item in some table.
+  window.  Tables are added until at least ``RECALL`` of simulated copies (items with all
+  allowed edits spread evenly, bounded sample) collide with their item in some table.
+* Pieces: copies whose edits lie bunched, as at the opening, can miss every table.  So an item
+  with k allowed edits is also cut into k + 1 pieces.  An edit spoils at most one of them, so
+  every copy holds a piece word by word: looking up all pieces finds every copy.
 * Windows that cannot match are skipped without loss: n words with k edits share n - 1 - 2k
-  word pairs with the item, so a window with fewer pairs of the benchmark is out.
+  word pairs with the item, so a window with fewer pairs of the benchmark is out.  A place
+  found by a piece also needs n - k words of its item.
 * Every candidate is verified by the exact edit distance (bit-parallel, free ends) over the
   stretch that its windows cover.
 
@@ -101,6 +105,9 @@ class Index:
         pairs = [np.array(s[:-1], np.uint64) * n_ids + np.array(s[1:], np.uint64)
                  for _, s in self.items if len(s) > 1]
         self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.uint64)
+        self.pieces = self._pieces(make)
+        own = [np.array(s, np.uint64) + np.uint64(k) * n_ids for k, (_, s) in enumerate(self.items)]
+        self.own_words = np.unique(np.concatenate(own)) if own else np.zeros(0, np.uint64)
         self.classes = []
         by: dict[int, list[int]] = {}
         for k, (_, s) in enumerate(self.items):
@@ -108,6 +115,73 @@ class Index:
         for group in by.values():
             self.classes.append(self._length_class(group, recall, rng))
 
+    # -- pieces
+
+    def _pieces(self, make: np.random.Generator) -> list[tuple]:
+        """Per length of a piece: its multipliers, and the sorted keys with item and offset."""
+        by: dict[int, list[tuple[int, int]]] = {}
+        for k, (_, s) in enumerate(self.items):
+            parts = allowed(len(s), self.similarity) + 1
+            cuts = [len(s) * i // parts for i in range(parts + 1)]
+            for a, b in zip(cuts, cuts[1:]):
+                by.setdefault(b - a, []).append((k, a))
+        out = []
+        for n, places in sorted(by.items()):
+            mult = make.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1)
+            owner, offset = np.array(places, np.int64).T
+            ids = np.array([self.items[k][1][a:a + n] for k, a in places], np.int64)
+            key = self._piece_keys(ids.ravel(), np.arange(len(places)) * n, mult)
+            order = np.argsort(key, kind="stable")
+            out.append((mult, key[order], owner[order], offset[order]))
+        return out
+
+    def _piece_keys(self, ids: np.ndarray, starts: np.ndarray, mult: np.ndarray) -> np.ndarray:
+        key = np.zeros(len(starts), np.uint64)
+        with np.errstate(over="ignore"):
+            for j, m in enumerate(mult):
+                h = self.hash[ids[starts + j]]
+                key += (h ^ (h >> np.uint64(31))) * m
+        return key
+
+    def _piece_places(self, ids: np.ndarray, shared: np.ndarray, total: np.ndarray,
+                      begins: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item, start) of all places that hold a piece and may hold its item."""
+        sizes = np.array([len(s) for _, s in self.items], np.int64)
+        edits = np.array([allowed(n, self.similarity) for n in sizes.tolist()], np.int64)
+        for mult, keys, owners, offsets in self.pieces:
+            # All pairs of a piece are pairs of the benchmark.
+            at = np.flatnonzero(shared if len(mult) > 1 else ids > 0)
+            for j in range(1, len(mult) - 1):
+                at = at[shared[at + j]]
+            for lo in range(0, len(at), 1 << 16):
+                some = at[lo:lo + (1 << 16)]
+                key = self._piece_keys(ids, some, mult)
+                a, b = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+                hit = np.flatnonzero(b > a)
+                some, a, upto = some[hit], a[hit], np.cumsum((b - a)[hit])
+                for first in range(0, int(upto[-1]) if len(hit) else 0, 1 << 14):
+                    nth = np.arange(first, min(first + (1 << 14), int(upto[-1])))
+                    h = np.searchsorted(upto, nth, "right")
+                    entry = a[h] + nth - np.r_[0, upto][h]
+                    yield from self._may_hold(owners[entry], some[h], offsets[entry], ids, total,
+                                              begins, sizes, edits)
+
+    def _may_hold(self, items, at, offsets, ids, total, begins, sizes, edits) -> Iterator[tuple[int, int]]:
+        n, e = sizes[items], edits[items]
+        start = np.maximum(at - offsets, begins[np.searchsorted(begins, at, "right") - 1])
+        low, high = np.maximum(start - e, 0), np.minimum(start + n + 2 * e, len(ids) - 1)
+        fine = total[np.maximum(high - 1, low)] - total[low] >= n - 1 - 2 * e
+        items, start, low, high, n, e = (x[fine] for x in (items, start, low, high, n, e))
+        found = np.zeros(len(items), np.int64)
+        n_ids = np.uint64(len(self.ids) + 1)
+        for j in range(int((high - low).max(initial=0))):
+            word = ids[np.minimum(low + j, high)]
+            code = word.astype(np.uint64) + items.astype(np.uint64) * n_ids
+            spot = np.minimum(np.searchsorted(self.own_words, code), len(self.own_words) - 1)
+            found += (self.own_words[spot] == code) & (low + j < high) & (word > 0)
+        fine = found >= n - e
+        return zip(items[fine].tolist(), start[fine].tolist())
+
     # -- embedding
 
     def walk(self, ids: np.ndarray, starts: np.ndarray, walk: int, steps: int) -> np.ndarray:
@@ -215,6 +289,8 @@ class Index:
                     for p, i, j in zip(some[hit].tolist(), a[hit].tolist(), b[hit].tolist()):
                         for k in owners[i:j].tolist():
                             spots.setdefault((k, p), [])
+        for k, p in self._piece_places(ids, shared, total, begins):
+            spots.setdefault((k, p), [])
         return self._verify(spots, ids, begins, found)
 
     def _verify(self, spots, ids, begins, found):

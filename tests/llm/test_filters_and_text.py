@@ -87,6 +87,24 @@ def test_leaks_reach_the_recall_and_nothing_else(docs_df, spark, items):
     assert {r.doc_id for r in clean.collect()} == {i for i, _ in rows} - {d for d, _ in got}
 
 
+def test_copies_with_edits_bunched_anywhere_are_found(items):
+    rng = random.Random(8)
+    texts, want = [], []
+    for item, text in items:
+        w = text.split()
+        n, k = len(w), decontamination.allowed(len(w))
+        out = [f"out{i}" for i in range(k)]
+        around = [f"w{rng.randrange(300)}" for _ in range(80)]
+        for at in (0, 1, k // 2, (n - k) // 2, n - k):
+            for mid in (w[:at] + w[at + k:], w[:at] + out + w[at + k:], w[:at] + out + w[at:]):
+                for body in (mid, mid + around, around + mid):
+                    texts.append(" ".join(body))
+                    want.append((item, levenshtein_inside(w, body)))
+    index = decontamination.Index(items)
+    for (item, distance), leaks in zip(want, index.scan(texts)):
+        assert (item, distance) in [(i, d) for i, _, d, _ in leaks]
+
+
 def test_decontamination_blocks_ties_and_empties(docs_df, spark, monkeypatch):
     monkeypatch.setattr(decontamination.blocks, "__defaults__", (1,))
     df = docs_df([(1, "one two three"), (None, "x one, TWO three y"), (3, "one two")])
