@@ -14,8 +14,9 @@ Files carry a name that is unique to the task attempt and count only through the
 (written by Spark's committer), so lost executors and repeated attempts leave no wrong data.
 
 Defined cases: a null or empty text is one ``eos``; a null doc_id is listed as null; an empty
-table writes no shard and an empty manifest.  Very long texts are tokenised in pieces of
-``PIECE`` characters (a tokenizer's own work on one run of letters is not linear).
+table writes no shard and an empty manifest.  A text of any length gets the ids of the whole
+text; only runs of more than ``PIECE`` white-space characters, on which the look-ahead can
+overflow the tokenizer's stack, are tokenised apart, at places where the split pattern cuts too.
 The input must be deterministic (a stored table): both passes compare their counts.
 """
 
@@ -98,14 +99,22 @@ class Encoder:
             for p in (PATTERN, PATTERN.replace(LOOK_AHEAD, "")))
 
     def __call__(self, text: str) -> list[int]:
-        run = self.full if _DOUBLE.search(text) else self.brief
-        if len(text) <= PIECE:
-            return run(text)
-        return [x for i in range(0, len(text), PIECE) for x in run(text[i:i + PIECE])]
+        out, at = [], 0
+        for gap in _LONG.finditer(text) if len(text) > PIECE else ():
+            # The pattern's run ends before the last white space, unless the text ends first.
+            end = gap.end() - (gap.end() < len(text))
+            out += self._run(text[at:gap.start()]) + self.brief(text[gap.start():end])
+            at = end
+        return out + self._run(text[at:])
+
+    def _run(self, text: str) -> list[int]:
+        return (self.full if _DOUBLE.search(text) else self.brief)(text)
 
 
 LOOK_AHEAD = r"|\s+(?!\S)"
 _DOUBLE = re.compile(r"\s\s")
+#: Unicode's White_Space, as in the split pattern (Python's own class has more).
+_LONG = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % (PIECE + 1))
 
 
 def _sequences(batches, encode: Encoder, seq_len: int, eos: int, dtype):

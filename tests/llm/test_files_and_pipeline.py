@@ -112,6 +112,16 @@ def test_shards_hold_every_token_once_and_resume(docs_df):
     assert {(r.slot, r.sha256) for r in again.collect()} == {(r.slot, r.sha256) for r in m.collect()}
 
 
+def test_long_texts_get_the_ids_of_the_whole_text():
+    with open(token_output.TOKENIZER, "rb") as f:
+        encode = token_output.Encoder(f.read())
+    texts = ["some words of a text, it's long " * 3_000, "longwordwithoutspace" * 3_000, "好的。文字" * 9_000,
+             "two  spaces\n\nand lines " * 2_000, "a" + " " * 50_000 + "b" + "\n" * 30_000 + "c",
+             " \n" * 30_000, "x" + "\t" * 20_001]
+    for t in texts:
+        assert encode(t) == encode.full(t)
+
+
 def test_no_documents_no_shards(docs_df):
     m = token_output.write_shards(docs_df([]))
     assert m.count() == 0 and token_output.checked(m).count() == 0
