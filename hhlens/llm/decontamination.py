@@ -9,7 +9,8 @@ item of n words if some stretch of it is within ``floor((1 - SIMILARITY) * n)``
 * Bit-sampling: a table takes ``COORDS`` steps of the walk as its key.  Items are indexed and
   windows looked up in tables of their length class, whose steps stay inside an item-sized
   window.  Tables are added until at least ``RECALL`` of simulated copies (items with all
-  allowed edits spread evenly, bounded sample) collide with their item in some table.
+  allowed edits spread evenly, bounded sample) collide with their item in some table, or there are
+  ``MAX_TABLES``; what they miss then is left to the pieces.
 * Pieces: copies whose edits lie bunched, as at the opening, can miss every table.  So an item
   with k allowed edits is also cut into k + 1 pieces.  An edit spoils at most one of them, so
   every copy holds a piece word by word: looking up all pieces finds every copy.
@@ -228,7 +229,7 @@ class Index:
             order = np.argsort(key, kind="stable")
             tables.append((coords, key[order], np.array(group)[order]))
         k = [allowed(n, self.similarity) for n in sizes]
-        return {"steps": steps, "tables": tables, "missed": float(missed.mean()),
+        return {"steps": steps, "tables": tables,
                 "least": min(n - 1 - 2 * e for n, e in zip(sizes, k)),
                 "reach": max(n + e for n, e in zip(sizes, k)), "shortest": min(sizes)}
 

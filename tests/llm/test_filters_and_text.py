@@ -105,6 +105,14 @@ def test_copies_with_edits_bunched_anywhere_are_found(items):
         assert (item, distance) in [(i, d) for i, _, d, _ in leaks]
 
 
+def test_too_few_tables_lose_no_leak(items, monkeypatch):
+    monkeypatch.setattr(decontamination, "MAX_TABLES", 1)
+    rng = random.Random(9)
+    texts = [" ".join(edited(t.split(), decontamination.allowed(len(t.split())), rng)) for _, t in items]
+    for (item, _), leaks in zip(items, decontamination.Index(items).scan(texts)):
+        assert item in [x[0] for x in leaks]
+
+
 def test_decontamination_blocks_ties_and_empties(docs_df, spark, monkeypatch):
     monkeypatch.setattr(decontamination.blocks, "__defaults__", (1,))
     df = docs_df([(1, "one two three"), (None, "x one, TWO three y"), (3, "one two")])
