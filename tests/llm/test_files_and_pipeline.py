@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hhlens.llm import queries, simhash, token_output, warc
-from hhlens.llm.decontamination import allowed, words_of
+from hhlens.llm.decontamination import Index, allowed, words_of
 
 PAGES = "page_id long, url string, html string, at string, digest string"
 ROWS = [(1, "http://a.com/x y", "<p>é</p>"), (2, "https://b.a.com/?q=1", "<p>é</p>"), (9, None, None),
@@ -177,6 +177,45 @@ def test_leaks_on_the_tables_equal_a_full_search(spark):
                 assert got[d, i] <= dist
 
 
+def full_search(items, texts):
+    """(number of the text, item id) -> least distance, by the plain dynamic programme over all
+    texts at once; gaps longer than any item keep them apart."""
+    words, flat, starts = [words_of(t) for t in texts], [], []
+    gap = [None] * (2 * max(len(words_of(t)) for _, t in items))
+    for w in words:
+        starts.append(len(flat))
+        flat += w + gap
+    ids = {w: i for i, w in enumerate({w for w in flat if w})}
+    x, j = np.array([ids.get(w, -1) for w in flat]), np.arange(len(flat) + 1)
+    out = {}
+    for item, t in items:
+        row, w = np.zeros(len(j), int), words_of(t)
+        for i, a in enumerate(w, 1):
+            new = np.r_[i, np.minimum(row[1:] + 1, row[:-1] + (x != ids.get(a, -2)))]
+            row = np.minimum.accumulate(new - j) + j
+        for n, (s, own) in enumerate(zip(starts, words)):
+            if (least := row[s:s + len(own) + 1].min()) <= allowed(len(w)):
+                out[n, item] = int(least)
+    return out
+
+
+def test_leaks_equal_a_full_search_both_ways_with_planted_copies():
+    """Whole texts and all items of the table, and copies with opening, middle and closing edits."""
+    sf = "/root/testdata/sf0.001"
+    items = duckdb.sql(f"select item_id, text from '{sf}/benchmark.parquet'").fetchall()
+    texts = [t for t, in duckdb.sql(f"select text from '{sf}/documents.parquet'").fetchall()]
+    planted = set()
+    for i, t in items:
+        w = words_of(t)
+        k = allowed(len(w))
+        for at in (0, (len(w) - k) // 2, len(w) - k):
+            for new in ([], [f"zz{x}" for x in range(k)]):
+                planted.add((len(texts), i))
+                texts.append(" ".join(w[:at] + new + w[at + k:]))
+    got = {(n, i): d for n, own in enumerate(Index(items).scan(texts)) for i, _, d, _ in own}
+    assert planted <= set(got) and got == full_search(items, texts)
+
+
 def test_suffix_and_simhash_queries_equal_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     docs = duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall()
