@@ -6,8 +6,9 @@ the model knows some n-gram gives the mean log frequency of those; a word withou
 n-gram says nothing.  The sums over all words of the whole text give the posterior; the best
 language and its posterior are the prediction.
 
-Fitting uses a bounded sample of the labelled rows (about ``SAMPLE_ROWS`` distinct texts,
-chosen by a hash of the text) and keeps the ``MAX_WORDS`` and ``MAX_NGRAMS`` most frequent
+Fitting uses a bounded sample of the labelled rows: about ``SAMPLE_ROWS`` distinct texts,
+chosen by a hash of the text and spread over the languages (a language with less than its even
+part gives all its texts, the others share what is left evenly).  It keeps the ``MAX_WORDS`` and ``MAX_NGRAMS`` most frequent
 entries, which bounds the broadcast model at every corpus size.  Prediction covers all rows.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; so is every
@@ -98,11 +99,13 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MA
         max_ngrams: int = MAX_NGRAMS) -> Model:
     """Learns from the columns text and lang."""
     rows = labelled.where("lang is not null and text is not null").select("text", "lang")
-    n = rows.count()
-    if not n:
+    counts = dict(rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02)).collect())
+    if not counts:
         return Model([], [], np.zeros((0, 0)), [], np.zeros((0, 0)))
-    share = max(1, min(1 << 40, round(sample_rows / n * (1 << 40))))
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < F.lit(share)).distinct()
+    shares = [x for lang, s in _shares(counts, sample_rows).items()
+              for x in (F.lit(lang), F.lit(max(1, round(s * (1 << 40)))))]
+    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 40))
+                        < F.element_at(F.create_map(*shares), F.col("lang"))).distinct()
     found = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))
     words = cut_lineage(sample.select("lang", F.explode(found).alias("w")).groupBy("w", "lang")
                         .agg(F.count("*").alias("n")))
@@ -117,6 +120,17 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MA
     return Model(langs, *_log_rows(words, langs, max_words), *_log_rows(grams, langs, max_ngrams))
 
 
+def _shares(counts: dict[str, int], rows: int) -> dict[str, float]:
+    """The share of each language's texts in a sample of ``rows``, dealt evenly from the rarest
+    language on."""
+    out, left = {}, rows
+    for i, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        part = left / (len(counts) - i)
+        out[lang] = min(1.0, part / max(n, 1))
+        left -= min(n, part)
+    return out
+
+
 def _log_rows(counts: DataFrame, langs: list[str], most: int) -> tuple[list[str], np.ndarray]:
     """The ``most`` frequent entries with their log frequency per language."""
     totals = dict(counts.groupBy("lang").agg(F.sum("n")).collect())

@@ -331,3 +331,11 @@ def test_repeated_turns_stay(spark):
     df = spark.createDataFrame([(1, 0, "user", "x"), (1, 0, "user", "x"), (1, None, None, None)],
                                "conv_id long, turn long, role string, text string")
     assert turns_of(read(chat.format_chats(chat.as_events(df)))[1]) == [("", ""), ("user", "x"), ("user", "x")]
+
+
+def test_a_rare_language_is_sampled(spark):
+    rows = [(f"common words number{i} and more", "aa") for i in range(3_000)]
+    rows += [(f"seltene sprache {w}", "bb") for w in ("eins", "zwei", "drei")] * 300
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), sample_rows=60)
+    assert model.langs == ["aa", "bb"] and {"eins", "zwei", "drei"} <= set(model.words)
+    assert langid._shares({"a": 5, "b": 10, "c": 1_000}, 45) == {"a": 1.0, "b": 1.0, "c": 0.03}
