@@ -33,6 +33,7 @@ SAMPLE_ROWS = 8_000
 MAX_WORDS = 200_000
 MAX_NGRAMS = 100_000
 LONGEST = 5
+STRETCH = 400
 SMOOTH = 0.5
 CACHE = 100_000
 UNKNOWN = "und"
@@ -109,17 +110,27 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MA
     found = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))
     words = cut_lineage(sample.select("lang", F.explode(found).alias("w")).groupBy("w", "lang")
                         .agg(F.count("*").alias("n")))
-    marked = F.concat(F.lit("_"), "w", F.lit("_"))
-    pieces = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - k + 1, F.lit(1))),
-                          lambda i, k=k: F.substring(marked, i, F.lit(k)))
-              for k in range(1, LONGEST + 1)]
-    grams = words.where(F.length("w") <= 100).select(
-        "lang", "n", F.explode(F.concat(*pieces)).alias("w")).where("w <> '_'").groupBy("w", "lang").agg(
-        F.sum("n").alias("n"))
+    # Long words go in stretches (a substring is sought from its text's start); n-grams belong
+    # to the stretch that they start in.
+    marked = words.select("lang", "n", F.concat(F.lit("_"), "w", F.lit("_")).alias("m"))
+    at = F.explode(F.sequence(F.lit(1), F.length("m"), F.lit(STRETCH))).alias("at")
+    marked = marked.select("lang", "n", "m", at).select(
+        "lang", "n", "at", F.substring("m", F.col("at"), F.lit(STRETCH + LONGEST - 1)).alias("m"))
+    pieces = [_pieces(k) for k in range(1, LONGEST + 1)]
+    grams = marked.select("lang", "n", F.explode(F.concat(*pieces)).alias("w")).where("w <> '_'").groupBy(
+        "w", "lang").agg(F.sum("n").alias("n"))
     langs = sorted(r[0] for r in words.select("lang").distinct().collect())
     return Model(langs, *_log_rows(words, langs, max_words), *_log_rows(grams, langs, max_ngrams))
 
 
+def _pieces(k: int) -> Column:
+    """The n-grams of length k that start in a stretch m."""
+    starts = F.least(F.length("m") - k + 1, F.lit(STRETCH))
+    # One parameter only: transform passes the index to a second one, default or not.
+    found = F.transform(F.sequence(F.lit(1), F.greatest(starts, F.lit(1))), lambda i: F.substring("m", i, F.lit(k)))
+    return F.when(starts >= 1, found).otherwise(F.array().cast("array<string>"))
+
+
 def _shares(counts: dict[str, int], rows: int) -> dict[str, float]:
     """The share of each language's texts in a sample of ``rows``, dealt evenly from the rarest
     language on."""

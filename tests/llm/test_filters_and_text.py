@@ -339,3 +339,22 @@ def test_a_rare_language_is_sampled(spark):
     model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), sample_rows=60)
     assert model.langs == ["aa", "bb"] and {"eins", "zwei", "drei"} <= set(model.words)
     assert langid._shares({"a": 5, "b": 10, "c": 1_000}, 45) == {"a": 1.0, "b": 1.0, "c": 0.03}
+
+
+def test_words_of_any_length_teach_their_n_grams(spark):
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcd") for _ in range(n)) for n in (1, 7, 101, 398, 400, 1_203)]
+    rows = [(w, f"l{i}") for i, w in enumerate(words)]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    counts = [{} for _ in words]
+    for w, own in zip(words, counts):
+        for k in range(1, langid.LONGEST + 1):
+            for i in range(len(w) + 2 - k + 1):
+                g = f"_{w}_"[i:i + k]
+                if g != "_":
+                    own[g] = own.get(g, 0) + 1
+    assert set(model.grams) == {g for own in counts for g in own}
+    for i, own in enumerate(counts):
+        norm = sum(own.values()) + langid.SMOOTH * len(model.grams)
+        got = np.exp(model.gram_table[:, i]) * norm - langid.SMOOTH
+        assert got == pytest.approx([own.get(g, 0) for g in model.grams], abs=1e-6)
