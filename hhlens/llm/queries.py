@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontamination, exact_dedup, langid, mixing, simhash, suffix_dedup, token_output, url_filter, warc)
+from . import (chat, chat_repair, decontamination, exact_dedup, langid, licenses, mixing, simhash, suffix_dedup,
+               token_output, url_filter, warc, whitening)
 from .common import table
 
 CHAT_EXTRA = "<|im_end|><|im_start|>assistant ok"
@@ -92,6 +93,41 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """The turns with planted faults, by crc32 of ``conv_id:turn`` mod 20."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    k = F.pmod(F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn")).cast("binary")), F.lit(20))
+    rows = turns.select("conv_id", "turn", space("role").alias("role"), space("text").alias("text"), k.alias("k"))
+    text = F.when(F.col("k") == 1, "").when(F.col("k") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.when(F.col("k") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.where("k <> 0").select(
+        "conv_id", "turn", F.when(F.col("k") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.explode(copies).alias("copy"))
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return chat_repair.repair(damaged(turns), turns.select("conv_id"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word",
+                        F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = whitening.fit(table(spark, sf_dir, "embeddings"))
+    rows = whitening.transform(model).select("vec_id", "deviation", F.posexplode("whitened").alias("c", "whitened"))
+    share = F.element_at(F.array(*[F.lit(float(v)) for v in model.variances / (model.total or 1.0)]).cast("array<double>"),
+                         F.col("component"))
+    return rows.withColumn("component", F.col("c") + 1).select(
+        "vec_id", "component", F.lit(model.blocks.n).cast("long").alias("n"),
+        F.expr("try_cast(deviation AS bigint)").alias("deviation"), "whitened", share.alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc": op2_warc,
@@ -103,6 +139,9 @@ QUERIES = {
     "op8_token_output": op8_token_output,
     "op9_language_id": op9_language_id,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_license_scan": op12_license_scan,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 OP2_SQL = """
@@ -189,18 +228,103 @@ f AS (
          replace(replace(replace(role, '\', '\s'), chr(10), '\n'), '<|', '<\p') AS head
   FROM c)
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), ''))
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), ''))
     AS loss_sha256,
   sum(12 + length(head) + 1 + length(body) + 10 + 1)::BIGINT AS formatted_chars
 FROM f GROUP BY conv_id
 """
 
+OP11_SQL = r"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+  FROM conversations),
+hashed AS (
+  SELECT *, xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(range(length(name)),
+           lambda i: [ord(substr(name, i + 1, 1))::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+           lambda c, i: xor(xor(c, i) >> 1, 3988292384::BIGINT * (xor(c, i) & 1))), 4294967295::BIGINT) % 20 AS k
+  FROM raw),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM hashed WHERE k <> 0),
+placed_rows AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM hurt),
+numbered AS (
+  SELECT conv_id, turn, role, text, i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS tail,
+         CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS cls
+  FROM placed_rows),
+rows AS (
+  SELECT *, CASE WHEN tail = '' THEN 'b' WHEN again THEN 'd' WHEN tail NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+         lag(cls) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM numbered),
+ins(a, b, cost, audit) AS (VALUES
+  (0, 0, 0, ''), (0, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 1, 0, ''), (1, 2, 3, 'I'), (1, 3, 6, 'II'),
+  (2, 2, 0, ''), (2, 3, 3, 'I'), (3, 3, 0, ''), (3, 2, 3, 'I')),
+step(cls, a, b) AS (VALUES
+  ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+edits AS (
+  SELECT cls, a, b, 0 AS cost, 'K' AS edit FROM step
+  UNION ALL SELECT c.cls, s.a, s.b, 3, 'R' FROM step s, (VALUES ('s'), ('u'), ('a'), ('o')) c(cls) WHERE s.cls <> 's'),
+dp AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS st, {'cost': 0::BIGINT, 'audit': ''} AS best
+  FROM (SELECT DISTINCT conv_id FROM rows)
+  UNION ALL
+  SELECT conv_id, i, st, min({'cost': cost, 'audit': audit}) AS best
+  FROM (
+    SELECT r.conv_id, r.i, e.b AS st, dp.best.cost + ins.cost + e.cost + CASE WHEN r.fault = 't' THEN 3 ELSE 0 END AS cost,
+           dp.best.audit || ins.audit || e.edit AS audit
+    FROM dp JOIN rows r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.i = dp.i + 1
+    JOIN ins ON ins.a = dp.st JOIN edits e ON e.a = ins.b AND e.cls = r.cls
+    WHERE r.fault NOT IN ('b', 'd')
+    UNION ALL
+    SELECT r.conv_id, r.i, ins.b, dp.best.cost + ins.cost + 4, dp.best.audit || ins.audit || 'D'
+    FROM dp JOIN rows r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.i = dp.i + 1
+    JOIN ins ON ins.a = dp.st)
+  GROUP BY conv_id, i, st),
+stats AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+         count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || cls NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY conv_id),
+best AS (
+  SELECT s.conv_id, min({'cost': dp.best.cost + ins.cost, 'audit': dp.best.audit || ins.audit}) AS best
+  FROM stats s JOIN dp ON dp.conv_id IS NOT DISTINCT FROM s.conv_id AND dp.i = s.n
+  JOIN ins ON ins.a = dp.st AND ins.b IN (0, 3) GROUP BY s.conv_id),
+ops AS (
+  SELECT conv_id, p, substr(best.audit, p::INT, 1) AS edit FROM best, unnest(range(1, length(best.audit) + 1)) AS t(p)),
+placed AS (
+  SELECT *, count(*) FILTER (edit <> 'I') OVER w AS i, count(*) FILTER (edit <> 'D') OVER w AS k
+  FROM ops WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+said AS (
+  SELECT p.conv_id, p.k, p.edit, r.role, r.text,
+         max(CASE WHEN p.k = 1 AND p.edit = 'K' AND r.cls = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY p.conv_id) AS sys
+  FROM placed p LEFT JOIN rows r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i AND p.edit <> 'I'
+  WHERE p.edit <> 'D'),
+told AS (
+  SELECT conv_id, string_agg(
+           CASE WHEN edit = 'K' THEN role WHEN (k - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END
+           || ':' || coalesce(text, ''), chr(10) ORDER BY k) AS body
+  FROM said GROUP BY conv_id)
+SELECT o.conv_id, coalesce(s.gaps, 0) AS gaps, coalesce(s.blank, 0) AS blank, coalesce(s.duplicate, 0) AS duplicate,
+       coalesce(s.truncated, 0) AS truncated, coalesce(s.illegal, 0) AS illegal, coalesce(b.best.cost, 0)::BIGINT AS cost,
+       coalesce(b.best.audit, '') AS audit, sha256(coalesce(t.body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLE = {
     "op2_warc": OP2_SQL,
     "op3_exact_dedup": OP3_SQL,
     "op4_url_filters": OP4_SQL,
     "op5_source_mixing": OP5_SQL,
     "op10_chat_formatting": OP10_SQL,
+    "op11_conversation_repair": OP11_SQL,
 }
