@@ -6,7 +6,8 @@
                     logit / ridge / lasso / elastic net; ``RandomForestClassifier`` for the
                     forest.  Every fit is a distributed job (tree aggregates over the rows).
 * tuning           ``cross_validate`` runs candidates x folds on a bounded thread pool, with
-                    per-fold preprocessing (and optional resampling of the training part).
+                    per-fold preprocessing (and optional resampling of the training part) and a
+                    ledger of finished fits.
 """
 
 from __future__ import annotations
@@ -40,7 +41,6 @@ def linear_score_sql(coefs: Mapping[str, float], intercept: float = 0.0) -> str:
 # --------------------------------------------------------------------------- preparation
 import math  # noqa: E402
 from collections.abc import Callable, Sequence  # noqa: E402
-from concurrent.futures import ThreadPoolExecutor  # noqa: E402
 
 from pyspark.ml import Pipeline, PipelineModel  # noqa: E402
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier  # noqa: E402
@@ -246,7 +246,10 @@ class CVResult:
                  candidate -1 is the intercept-only model of a fold.
     ``alias``    (fold, candidate, rep): candidate's predictions in that fold are those of
                  ``rep`` (itself when fitted, -1 when pruned as an intercept-only model).
-    ``base``     the persisted model input; ``release()`` frees it."""
+    ``base``     the stored model input; ``release()`` frees it.
+    ``rates``    (fold, rep) -> confusion cells and AUC where the run counted them."""
+
+    rates: dict | None = None
 
     def __init__(self, oof, alias, base, n_fits):
         self.oof, self.alias, self.base, self.n_fits = oof, alias, base, n_fits
@@ -281,69 +284,82 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold_col:
                    key: str = "id", threshold: float = 0.5,
                    resample: Callable[[DataFrame, int], DataFrame] | None = None,
                    pruned: Callable[[DataFrame, dict], bool] | None = None,
-                   parallelism: int = 4) -> CVResult:
+                   parallelism: int = 4, ledger: str | None = None, run: object = None) -> CVResult:
     """k-fold tuning: every candidate is fitted on each fold's training part and scored on
     the held-out part.
 
-    The model input is checkpointed once into the shared checkpoint folder (lineage cut,
-    survives lost executors); each fold's training part (optionally resampled, e.g. SMOTE
-    on the training rows only, never on the held-out rows) is persisted while that fold's
-    candidates are fitted on a bounded driver thread pool, so several Spark jobs share the
-    cluster.  ``pruned(train, cand)`` marks candidates known to give the intercept-only
-    model (penalty >= lambda_max); they share one constant prediction per fold instead of
-    a fit.  Fitted logistic candidates of a fold are scored together in one projection."""
-    from pyspark import StorageLevel
-
-    from hhlens.session import cut_lineage
+    The work is kept in a ``FitLedger``: the model input and each fold's (optionally
+    resampled, e.g. SMOTE on the training rows only, never on the held-out rows) training part
+    are stored once, every finished fit writes its held-out scores.  With ``ledger`` (a folder
+    that outlives the session) a run that was stopped goes on where it ended; ``run`` then
+    names what else the fits depend on (input, trees, seed), so that no other run's folder is
+    taken.  ``pruned(train, cand)`` marks candidates known to give the intercept-only model
+    (penalty >= lambda_max); they share one constant prediction per fold instead of a fit."""
+    from hhlens.operators.ledger import FitLedger
+    from hhlens.session import scratch_path
 
-    base = cut_lineage(df.select(key, F.col(label).cast("int").alias(label), fold_col, *features))
+    spark = df.sparkSession
+    book = FitLedger(spark, ledger or scratch_path(spark, "cv"), {
+        "features": list(features), "label": label, "candidates": list(candidates), "resampled": resample is not None, "run": run})
+    base = book.table("base", lambda: df.select(key, F.col(label).cast("int").alias(label), fold_col, *features))
     folds = sorted(r[0] for r in base.select(fold_col).distinct().collect())
-    parts, alias, n_fits = [], [], 0
+    train, alias = {}, []
     for f in folds:
-        train = base.where(F.col(fold_col) != f)
-        if resample is not None:
-            train = resample(train, f)
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
-        valid = base.where(F.col(fold_col) == f)
-        todo, scores = [], []
+        own = base.where(F.col(fold_col) != f)
+        train[f] = own if resample is None else book.table(f"train/fold={f}", lambda own=own, f=f: resample(own, f))
         for i, cand in enumerate(candidates):
-            if pruned is not None and pruned(train, cand):
-                alias.append((int(f), i, -1))
-            else:
-                alias.append((int(f), i, i))
-                todo.append((i, cand))
-        if len(todo) < len(candidates):
-            ybar = train.agg(F.avg(F.col(label).cast("double"))).first()[0]
-            scores.append((-1, F.lit(float(ybar)), None))
-
-        def run(i_cand, train=train):
-            i, cand = i_cand
-            m = fit(train, **cand)
-            return i, model_score_column(m), m
-
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-            scores.extend(ex.map(run, todo))
-        n_fits += len(todo)
-        train.unpersist()
-        fold = F.lit(int(f)).alias("fold")
-        cols = [(i, c) for i, c, _ in scores if c is not None]
-        if cols:
-            arr = F.array(*[F.struct(F.lit(i).alias("candidate"), c.alias("prob")) for i, c in cols])
-            parts.append(valid.select(fold, key, label, F.explode(arr).alias("_c"))
-                         .select(F.col("_c.candidate").alias("candidate"), "fold", key, label,
-                                 F.col("_c.prob").alias("prob")))
-        for i, c, m in scores:
-            if c is None:    # not a linear pipeline: score with the model itself
-                pr = prob_of_positive(m.transform(valid.withColumn(label, F.col(label).cast("double"))))
-                parts.append(pr.select(F.lit(i).alias("candidate"), fold, key,
-                                       F.col(label).cast("int").alias(label), "prob"))
-    oof = parts[0]
-    for p in parts[1:]:
-        oof = oof.unionByName(p)
-    oof = oof.withColumn("pred", (F.col("prob") > F.lit(threshold)).cast("int"))
-    spark = df.sparkSession
+            alias.append((int(f), i, -1 if pruned is not None and pruned(train[f], cand) else i))
+
+    def make(f, rep):
+        valid = base.where(F.col(fold_col) == f)
+        if rep == -1:
+            p = F.lit(float(train[f].agg(F.avg(F.col(label).cast("double"))).first()[0]))
+        else:
+            m = fit(train[f], **candidates[rep])
+            p = model_score_column(m)
+            if p is None:        # not a linear pipeline: score with the model itself
+                valid, p = prob_of_positive(m.transform(valid.withColumn(label, F.col(label).cast("double")))), F.col("prob")
+        return valid.select(key, F.col(label).cast("int").alias(label), p.alias("prob"))
+
+    jobs = sorted({(f, r) for f, _, r in alias})
+    book.run(jobs, make, parallelism)
+    oof = book.scores().select("candidate", "fold", key, label, "prob",
+                               (F.col("prob") > F.lit(threshold)).cast("int").alias("pred"))
     alias_df = spark.createDataFrame(alias, "fold int, candidate int, rep int")
-    return CVResult(oof, alias_df, base, n_fits)
+    cv = CVResult(oof, alias_df, base, sum(r != -1 for _, r in jobs))
+    cv.ledger = book
+    return cv
+
+
+def smote_part(features: Sequence[str], label: str, key: str = "id", k: int = 5, seed=123):
+    """``resample`` callback for ``cross_validate``: the rows with SMOTE rows that balance them."""
+    from hhlens.operators.sampling import smote
+
+    def resample(part: DataFrame, fold) -> DataFrame:
+        own = part.select(key, label, *features)
+        return own.unionByName(smote(own, label, features, key, 1, k=k, seed=f"{seed}|{fold}"))
+
+    return resample
+
+
+def tune_forest(train: DataFrame, features: Sequence[str], label: str, grid: Mapping[str, Sequence], trees: int,
+                fold_col: str = "fold", key: str = "id", k: int = 5, seed=123, parallelism: int = 4,
+                ledger: str | None = None, run: object = None):
+    """Random forest tuned by k-fold accuracy with SMOTE in the training folds, then refitted
+    on all training rows with their own SMOTE rows: (CV result, results table, best candidate,
+    model).  Ties go to the smaller ``mtry``, then the smaller node size."""
+    cands = expand_grid(mtry=grid["mtry"], min_node_size=grid["min_node_size"])
+    resample = smote_part(features, label, key, k, seed)
+
+    def fit(part, mtry, min_node_size):
+        return fit_forest(part, features, label, mtry=int(mtry), min_node_size=int(min_node_size), num_trees=trees, seed=seed)
+
+    cv = cross_validate(train, features, label, fold_col, cands, fit, key, resample=resample, parallelism=parallelism,
+                        ledger=ledger, run={"run": run, "trees": trees, "seed": seed, "k": k})
+    results = tuning_results(cv, cands, label)
+    best = best_candidate(results, tie_break=(("mtry", True), ("min_node_size", True)))
+    whole = cv.ledger.table("train/all", lambda: resample(cv.base, "all"))
+    return cv, results, best, fit(whole, best["mtry"], best["min_node_size"])
 
 
 def lambda_max_pruner(features: Sequence[str], label: str):
@@ -367,10 +383,17 @@ def tuning_results(cv: CVResult, candidates: Sequence[dict], label: str = "Pobre
     """``$results``: per candidate the mean and sd over folds of ROC, Sens, Spec, Accuracy,
     Kappa, next to the candidate's parameters.  Fold metrics are computed once per fitted
     model (distributed aggregates) and shared with the candidates aliased to it."""
-    from hhlens.operators.evaluate import five_stats
-
-    per_fold = five_stats(cv.oof, "prob", "pred", label, positive, groups=["candidate", "fold"])
-    per_fold = per_fold.withColumnRenamed("candidate", "rep")
+    from hhlens.operators.evaluate import five_stats, metric_columns
+
+    if cv.rates is not None:            # counted in the scoring pass: one row per fold and model
+        rows = [(f, c, *[int(r[k]) for k in ("tp", "fp", "fn", "tn")], r["auc"]) for (f, c), r in sorted(cv.rates.items())]
+        t = cv.base.sparkSession.createDataFrame(rows, "fold int, rep int, tp long, fp long, fn long, tn long, ROC double")
+        m = metric_columns(*[F.col(c) for c in ("tp", "fp", "fn", "tn")])
+        per_fold = t.select("fold", "rep", "ROC", m["Sensitivity"].alias("Sens"), m["Specificity"].alias("Spec"),
+                            m["Accuracy"].alias("Accuracy"), m["Kappa"].alias("Kappa"))
+    else:
+        per_fold = five_stats(cv.oof, "prob", "pred", label, positive, groups=["candidate", "fold"])
+        per_fold = per_fold.withColumnRenamed("candidate", "rep")
     stats = ["ROC", "Sens", "Spec", "Accuracy", "Kappa"]
     expanded = cv.alias.join(per_fold, on=["rep", "fold"], how="left")
     agg = expanded.groupBy("candidate").agg(

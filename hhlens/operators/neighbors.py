@@ -1,32 +1,34 @@
-"""Exact k nearest neighbours (Euclidean) without an all-pairs join.
+"""Exact k nearest neighbours (Euclidean) on a partition tree, without an all-pairs join.
 
-Points are ordered along a unit projection u and cut into buckets of at most
-``bucket_rows`` points (ranks from the bucketed prefix sums, so equal projections cannot
-overflow a bucket).  Since |u.x - u.y| <= |x - y|:
+1. Equal rows collapse: of every distinct vector only the k + 1 smallest keys can ever be an
+   answer (a map-side group limit keeps a hot vector small), and all its rows share one query.
+2. A sample of the distinct vectors, chosen by hash, grows a binary tree that splits its
+   widest column at the middle; keys break ties, so equal values never fill one leaf.  Leaves
+   are sized so that there is work for every core, at most ``LEAF_ROWS`` vectors each.
+3. Each leaf finds its vectors' candidates among its own (NumPy, one bounded group) and, with
+   the k-th distance as radius, the other leaves whose bounding box lies within it.
+4. Only these (vector, leaf) visits are exchanged, in groups of at most ``VISITS`` queries.
+5. The best candidates of all visited leaves win (ties by neighbour key).
 
-1. each bucket finds, per point, its k nearest inside the bucket (NumPy, one task per
-   bucket, memory bounded by the bucket size) -> radius r_k(x);
-2. a point whose band [u.x - r_k, u.x + r_k] reaches other buckets is sent, as a query,
-   to exactly those buckets (their projection ranges are a small collected table);
-3. per point the k best of all candidates win (ties by neighbour key).
+Nothing outside the visited boxes can be closer than the k-th candidate, so the result is
+exact for any sample.  The tree and the boxes (one row per leaf, at most ``MAX_LEAVES``) are
+the only things sent to all tasks.  A vector in a leaf with too few rows takes its radius from
+the farthest corners of the nearest boxes that together hold enough rows.
 
-Nothing outside a point's band can be closer than its k-th candidate, so the result is
-exact; the work is bucket-local plus the boundary traffic.
+Rows with a NULL or NaN feature have no distance: they neither ask nor answer.
 """
 
 from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hhlens.operators.ordered import prefix_counts
-
 # Task code of this module travels by value, so executors need no installed package.
 try:
     from pyspark import cloudpickle as _cp
@@ -34,127 +36,247 @@ try:
 except Exception:  # noqa: BLE001
     pass
 
-BUCKET_ROWS = 20_000
+LEAF_ROWS = 500
+MAX_LEAVES = 32_768
+SAMPLE_PER_LEAF = 16
+VISITS = 20_000
 _CHUNK = 512
-MAX_BUCKETS = 5_000_000
+SLACK = 1e-9                            # relative slack of box distances (rounding)
+
+
+# --------------------------------------------------------------------------- tree
+def grow(x: np.ndarray, ids: np.ndarray, leaves: int) -> dict[str, np.ndarray]:
+    """A tree over sampled rows: per node its column, the (value, key) that goes right, and
+    its children (a negative child -1 - i is leaf i)."""
+    axis, cut, cut_id, child = [], [], [], []
+    todo, n_leaves = [(np.arange(len(x)), leaves, None)], 0
+    while todo:
+        rows, want, parent = todo.pop()
+        if want <= 1 or len(rows) < 2:
+            if parent is not None:
+                child[parent[0]][parent[1]] = -1 - n_leaves
+            n_leaves += 1
+            continue
+        a = int(np.ptp(x[rows], axis=0).argmax())
+        order = rows[np.lexsort((ids[rows], x[rows, a]))]
+        half = want // 2
+        at = min(max(1, len(rows) * half // want), len(rows) - 1)
+        node = len(axis)
+        axis.append(a)
+        cut.append(x[order[at], a])
+        cut_id.append(ids[order[at]])
+        child.append([0, 0])
+        if parent is not None:
+            child[parent[0]][parent[1]] = node
+        todo += [(order[:at], half, (node, 0)), (order[at:], want - half, (node, 1))]
+    return {"axis": np.array(axis, np.int64), "cut": np.array(cut, float), "cut_id": np.array(cut_id, np.int64),
+            "child": np.array(child, np.int64).reshape(-1, 2)}
+
+
+def route(tree: dict[str, np.ndarray], x: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Leaf of every row."""
+    at = np.zeros(len(x), np.int64)
+    if not len(tree["axis"]):
+        return at
+    live = np.arange(len(x))
+    while len(live):
+        node = at[live]
+        v, c = x[live, tree["axis"][node]], tree["cut"][node]
+        right = ~((v < c) | ((v == c) & (ids[live] < tree["cut_id"][node])))
+        at[live] = tree["child"][node, right.astype(int)]
+        live = live[at[live] >= 0]
+    return -1 - at
+
 
+def box_distance(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, far: bool = False) -> np.ndarray:
+    """Squared distance of every row to every box (to its farthest corner with ``far``)."""
+    d2 = np.zeros((len(x), len(lo)))
+    for f in range(x.shape[1]):
+        below, above = lo[:, f][None, :] - x[:, f][:, None], x[:, f][:, None] - hi[:, f][None, :]
+        gap = np.maximum(np.abs(below), np.abs(above)) if far else np.maximum(np.maximum(below, above), 0)
+        d2 += gap * gap
+    return d2
 
-def _knn_block(q_ids, q_x, r_ids, r_x, k: int):
-    """k nearest refs for each query (self excluded), ties by ref id; squared distances
-    accumulated feature by feature (the same operation order as an SQL sum)."""
+
+def _nearest(qx: np.ndarray, r_ids: np.ndarray, rx: np.ndarray, k: int):
+    """The k nearest refs of every query as (query, ref key, d2), by distance, then key.
+    Squared distances accumulate feature by feature (the operation order of an SQL sum)."""
     out_q, out_n, out_d = [], [], []
-    for s in range(0, len(q_ids), _CHUNK):
-        qx = q_x[s:s + _CHUNK]
-        d2 = np.zeros((len(qx), len(r_ids)))
-        for f in range(q_x.shape[1]):
-            diff = qx[:, f][:, None] - r_x[:, f][None, :]
+    for s in range(0, len(qx), _CHUNK):
+        q = qx[s:s + _CHUNK]
+        d2 = np.zeros((len(q), len(r_ids)))
+        for f in range(qx.shape[1]):
+            diff = q[:, f][:, None] - rx[:, f][None, :]
             d2 += diff * diff
-        qi = q_ids[s:s + _CHUNK]
-        d2[qi[:, None] == r_ids[None, :]] = np.inf
-        known = np.isfinite(d2).sum(axis=1)
-        plain = np.flatnonzero((known >= k) & (d2.shape[1] > k))
-        tied = np.setdiff1d(np.arange(len(qx)), plain)
-        if len(plain):
-            near = np.argpartition(d2[plain], k - 1, axis=1)[:, :k]
-            dn = np.take_along_axis(d2[plain], near, axis=1)
-            full = (d2[plain] <= dn.max(axis=1)[:, None]).sum(axis=1) > k
-            tied = np.r_[tied, plain[full]]         # a tie at the k-th distance: by ref id below
-            near, dn, rows = near[~full], dn[~full], plain[~full]
+        tied = np.arange(len(q))
+        if d2.shape[1] > k:
+            near = np.argpartition(d2, k - 1, axis=1)[:, :k]
+            dn = np.take_along_axis(d2, near, axis=1)
+            full = (d2 <= dn.max(axis=1)[:, None]).sum(axis=1) > k      # a tie at the k-th distance: by key below
+            tied, rows = np.flatnonzero(full), np.flatnonzero(~full)
+            near, dn = near[rows], dn[rows]
             order = np.lexsort((r_ids[near], dn), axis=1)
-            out_q.append(np.repeat(qi[rows], k))
+            out_q.append(np.repeat(rows + s, k))
             out_n.append(np.take_along_axis(r_ids[near], order, axis=1).ravel())
             out_d.append(np.take_along_axis(dn, order, axis=1).ravel())
-        for row in tied:
+        kk = min(k, d2.shape[1])
+        for row in tied if kk else ():
             dr = d2[row]
-            kk = min(k, int(known[row]))
-            if kk <= 0:
-                continue
-            kth = np.partition(dr, kk - 1)[kk - 1]
-            cand = np.flatnonzero(dr <= kth)
-            sel = cand[np.lexsort((r_ids[cand], dr[cand]))[:kk]]
-            out_q.append(np.full(kk, qi[row]))
-            out_n.append(r_ids[sel])
-            out_d.append(dr[sel])
+            near = np.flatnonzero(dr <= np.partition(dr, kk - 1)[kk - 1])
+            near = near[np.lexsort((r_ids[near], dr[near]))[:kk]]
+            out_q.append(np.full(kk, row + s))
+            out_n.append(r_ids[near])
+            out_d.append(dr[near])
     if not out_q:
-        return np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.array([])
-    return np.concatenate(out_q), np.concatenate(out_n), np.concatenate(out_d)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    q, n, d = np.concatenate(out_q), np.concatenate(out_n), np.concatenate(out_d)
+    order = np.argsort(q, kind="stable")
+    return q[order], n[order], d[order]
+
+
+# --------------------------------------------------------------------------- Arrow helpers
+def _matrix(column, d: int) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+
+
+def _refs(t: pa.Table, x: np.ndarray):
+    """Keys and vectors of the rows that a leaf's distinct vectors stand for."""
+    ids = t.column("ids").combine_chunks()
+    size = ids.value_lengths().to_numpy(zero_copy_only=False)
+    return ids.flatten().to_numpy(), np.repeat(x, size, axis=0)
+
 
+_NEAR = pa.list_(pa.struct([("d2", pa.float64()), ("id", pa.int64())]))
 
+
+def _lists(q: np.ndarray, n: np.ndarray, d: np.ndarray, rows: int) -> pa.Array:
+    """One list of (d2, id) per query; ``q`` is sorted."""
+    ends = np.searchsorted(q, np.arange(rows + 1)).astype(np.int32)
+    cells = pa.StructArray.from_arrays([pa.array(d, pa.float64()), pa.array(n, pa.int64())], names=["d2", "id"])
+    return pa.ListArray.from_arrays(pa.array(ends), cells)
+
+
+def _visits(x: np.ndarray, r2: np.ndarray, own: int, boxes, need: int) -> list[np.ndarray]:
+    """Per query the other leaves within its radius."""
+    leaf, lo, hi, size = boxes
+    lost = np.flatnonzero(~np.isfinite(r2))
+    for s in range(0, len(lost), _CHUNK):
+        rows = lost[s:s + _CHUNK]
+        far = box_distance(x[rows], lo, hi, far=True)
+        order = np.argsort(far, axis=1)
+        enough = np.cumsum(size[order], axis=1) >= need
+        at = np.where(enough.any(axis=1), enough.argmax(axis=1), len(leaf) - 1)
+        r2[rows] = np.take_along_axis(far, order, axis=1)[np.arange(len(rows)), at]
+        r2[rows[~enough.any(axis=1)]] = np.inf
+    reach = r2 * (1 + SLACK) + 1e-12
+    out: list[np.ndarray] = []
+    # Boxes out of everyone's reach go first: the gap between box and box bounds all gaps.
+    mine_lo, mine_hi = x.min(axis=0), x.max(axis=0)
+    gap = np.maximum(np.maximum(lo - mine_hi, mine_lo - hi), 0)
+    some = np.flatnonzero(((gap * gap).sum(axis=1) <= reach.max()) & (leaf != own))
+    for s in range(0, len(x), _CHUNK):
+        near = box_distance(x[s:s + _CHUNK], lo[some], hi[some]) <= reach[s:s + _CHUNK][:, None]
+        out += [leaf[some[row]] for row in near]
+    return out
+
+
+# --------------------------------------------------------------------------- the operator
 def knn_exact(df: DataFrame, key: str, features: Sequence[str], k: int = 5,
-              bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(key, nn_key, d2, nn_rank): the k nearest other rows of every row by Euclidean
-    distance over ``features`` (squared distance ``d2``, rank 1..k, ties by nn_key)."""
+              bucket_rows: int = LEAF_ROWS, report: dict | None = None) -> DataFrame:
+    """(key, nn_key, d2, nn_rank): the k nearest other rows of every row by Euclidean distance
+    over ``features`` (squared distance ``d2``, rank 1..k, ties by nn_key; keys are unique).
+    ``report`` receives the number of distinct vectors, leaves and visits."""
     from hhlens.session import cut_lineage
 
-    feats = list(features)
-    pts = df.select(F.col(key).cast("bigint").alias("_id"),
-                    *[F.col(c).cast("double").alias(c) for c in feats])
-    sd = pts.agg(*[F.stddev_pop(c).alias(c) for c in feats]).first()
-    w = [float(sd[c] or 0.0) for c in feats]
-    norm = math.sqrt(sum(x * x for x in w)) or 1.0
-    if norm == 1.0 and not any(w):
-        w = [1.0] * len(feats)
-        norm = math.sqrt(len(feats))
-    u = [x / norm for x in w]
-    proj = F.lit(0.0)
-    for c, uc in zip(feats, u):
-        proj = proj + F.lit(uc) * F.col(c)
-    pts = pts.withColumn("_p", proj)
-    # bucket = position in (projection, id) order // bucket_rows
-    vc = pts.groupBy("_p").agg(F.count(F.lit(1)).alias("cnt"))
-    pc = prefix_counts(vc, [], "_p", "cnt").select("_p", (F.col("cum") - F.col("cnt")).alias("_before"))
-    tie = Window.partitionBy("_p").orderBy("_id")
-    pts = (pts.join(pc, on="_p")
-           .withColumn("_b", ((F.col("_before") + F.row_number().over(tie) - 1) / F.lit(bucket_rows))
-                       .cast("bigint")).drop("_before"))
-    pts = cut_lineage(pts)
-    bounds = pts.groupBy("_b").agg(F.min("_p").alias("lo"), F.max("_p").alias("hi")).orderBy("_b").collect()
-    his = [r["hi"] for r in bounds]
-    los = [r["lo"] for r in bounds]
-
-    schema = "_q bigint, _n bigint, d2 double"
-
-    def local(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = pdf["_id"].to_numpy(dtype=np.int64)
-        x = pdf[feats].to_numpy(dtype=float)
-        q, n, d = _knn_block(ids, x, ids, x, k)
-        return pd.DataFrame({"_q": q, "_n": n, "d2": d})
-
-    cand1 = pts.groupBy("_b").applyInPandas(local, schema)
-    cand1 = cut_lineage(cand1)
-    # radius of each point: k-th candidate distance (inf when its bucket had fewer than k others)
-    rad = cand1.groupBy("_q").agg(F.max("d2").alias("_r2"), F.count(F.lit(1)).alias("_m"))
-    q = (pts.join(rad, pts["_id"] == rad["_q"], "left").drop("_q")
-         .withColumn("_r", F.when(F.col("_m") >= k, F.sqrt("_r2") * F.lit(1 + 1e-9) + F.lit(1e-12))
-                     .otherwise(F.lit(float("inf")))))
-    # Two numbers per bucket, as a broadcast table for binary search: the count is checked.
-    if len(bounds) > MAX_BUCKETS:
-        raise ValueError(f"{len(bounds)} buckets: raise bucket_rows")
-    sent = df.sparkSession.sparkContext.broadcast((np.array(los), np.array(his)))
-
-    @F.pandas_udf("first bigint, last bigint")
-    def band(p: pd.Series, r: pd.Series) -> pd.DataFrame:
-        low, high = sent.value
-        return pd.DataFrame({"first": np.searchsorted(high, p - r, side="left"),
-                             "last": np.searchsorted(low, p + r, side="right") - 1})
-
-    q = q.withColumn("_band", band("_p", "_r"))
-    queries = (q.withColumn("_t", F.explode(F.sequence("_band.first", "_band.last")))
-               .where(F.col("_t") != F.col("_b"))
-               .select(F.col("_t").alias("_b"), "_id", *feats, F.lit(1).alias("_is_q")))
-    refs = pts.select("_b", "_id", *feats, F.lit(0).alias("_is_q"))
-
-    def cross(pdf: pd.DataFrame) -> pd.DataFrame:
-        isq = pdf["_is_q"].to_numpy() == 1
-        if not isq.any():
-            return pd.DataFrame({"_q": [], "_n": [], "d2": []})
-        r, qq = pdf[~isq], pdf[isq]
-        qn, nn, dd = _knn_block(qq["_id"].to_numpy(dtype=np.int64), qq[feats].to_numpy(dtype=float),
-                                r["_id"].to_numpy(dtype=np.int64), r[feats].to_numpy(dtype=float), k)
-        return pd.DataFrame({"_q": qn, "_n": nn, "d2": dd})
-
-    cand2 = queries.unionByName(refs).groupBy("_b").applyInPandas(cross, schema)
-    allc = cand1.unionByName(cand2)
-    rank = Window.partitionBy("_q").orderBy("d2", "_n")   # <= k x (buckets in the band) rows
-    return (allc.withColumn("nn_rank", F.row_number().over(rank)).where(F.col("nn_rank") <= k)
-            .select(F.col("_q").alias(key), F.col("_n").alias("nn_key"), "d2", "nn_rank"))
+    spark, feats, d, kk = df.sparkSession, list(features), len(features), k + 1
+    cols = [F.col(c).cast("double") + F.lit(0.0) for c in feats]            # -0.0 becomes 0.0
+    fine = F.lit(True)
+    for c in cols:
+        fine = fine & c.isNotNull() & ~F.isnan(c)
+    pts = cut_lineage(df.where(fine).select(F.col(key).cast("bigint").alias("_id"), F.array(*cols).alias("x")))
+    first = Window.partitionBy("x").orderBy("_id")
+    uniq = cut_lineage(pts.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= kk)
+                       .groupBy("x").agg(F.array_sort(F.collect_list("_id")).alias("ids"))
+                       .withColumn("vid", F.col("ids")[0]))
+    n = uniq.count()
+    cores = spark.sparkContext.defaultParallelism
+    leaf_rows = min(bucket_rows, max(64, math.ceil(n / (4 * cores))))
+    leaves = min(MAX_LEAVES, math.ceil(n / leaf_rows)) or 1
+
+    # The tree: at most about SAMPLE_PER_LEAF rows per leaf reach the driver, chosen by hash.
+    share = min(1.0, SAMPLE_PER_LEAF * leaves / max(n, 1))
+    tree = {"axis": np.zeros(0, np.int64)}
+    if leaves > 1:
+        got = uniq.where(F.pmod(F.xxhash64("vid"), F.lit(1 << 30)) < F.lit(math.ceil(share * (1 << 30)))).select("x", "vid").toArrow()
+        if got.num_rows > 1:
+            ids = got.column("vid").to_numpy()
+            order = np.argsort(ids)
+            tree = grow(_matrix(got.column("x"), d)[order], ids[order], leaves)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = route(tree, _matrix(b.column("x"), d), b.column("vid").to_numpy())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at.astype(np.int32))], names=[*b.schema.names, "leaf"])
+
+    schema = "x array<double>, ids array<bigint>, vid bigint, leaf int"
+    placed = cut_lineage(uniq.select("x", "ids", "vid").mapInArrow(place, schema))
+    box = placed.groupBy("leaf").agg(
+        F.count("*").alias("n"), F.array(*[F.min(F.col("x")[i]) for i in range(d)]).alias("lo"),
+        F.array(*[F.max(F.col("x")[i]) for i in range(d)]).alias("hi")).toArrow()
+    sent = spark.sparkContext.broadcast((
+        box.column("leaf").to_numpy().astype(np.int64), _matrix(box.column("lo"), d), _matrix(box.column("hi"), d),
+        box.column("n").to_numpy()))
+
+    def local(t: pa.Table) -> pa.Table:
+        x = _matrix(t.column("x"), d)
+        r_ids, rx = _refs(t, x)
+        q, near, d2 = _nearest(x, r_ids, rx, kk)
+        r2 = np.full(len(x), -1.0)
+        np.maximum.at(r2, q, d2)
+        r2[np.bincount(q, minlength=len(x)) < kk] = np.inf
+        visits = _visits(x, r2, t.column("leaf")[0].as_py(), sent.value, kk)
+        return pa.table({"vid": t.column("vid"), "x": t.column("x"), "near": _lists(q, near, d2, len(x)), "r2": pa.array(r2),
+                         "visits": pa.array(visits, pa.list_(pa.int32()))})
+
+    pair = "array<struct<d2: double, id: bigint>>"
+    own = cut_lineage(placed.groupBy("leaf").applyInArrow(
+        local, f"vid bigint, x array<double>, near {pair}, r2 double, visits array<int>"))
+    asks = own.where(F.size("visits") > 0).select(F.explode("visits").alias("leaf"), "vid", "x", "r2")
+    # One row per visited leaf (at most MAX_LEAVES): into how many groups its queries are dealt.
+    deal = cut_lineage(asks.groupBy("leaf").agg(F.count("*").alias("n"))
+                       .withColumn("m", F.ceil(F.col("n") / F.lit(VISITS)).cast("int")))
+    n_visits = deal.agg(F.sum("n")).first()[0] or 0
+    if report is not None:
+        report.update(vectors=n, leaves=box.num_rows, visits=n_visits)
+    lists = own.select("vid", "near")
+    if n_visits:
+        side = F.broadcast(deal.select("leaf", "m"))
+        empty = F.array().cast("array<bigint>")
+        q = asks.join(side, "leaf").select("leaf", F.pmod(F.xxhash64("vid"), F.col("m")).cast("int").alias("part"),
+                                           "vid", "x", "r2", empty.alias("ids"))
+        refs = placed.join(side, "leaf").select(
+            "leaf", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("part"), "vid", "x",
+            F.lit(None).cast("double").alias("r2"), "ids")
+
+        def cross(t: pa.Table) -> pa.Table:
+            x, r2 = _matrix(t.column("x"), d), t.column("r2").combine_chunks()
+            asked = r2.is_valid().to_numpy(zero_copy_only=False)
+            rows = pa.array(np.flatnonzero(~asked))
+            r_ids, rx = _refs(t.take(rows), x[~asked])
+            limit = r2.to_numpy(zero_copy_only=False)[asked] * (1 + SLACK) + 1e-12
+            qi, near, d2 = _nearest(x[asked], r_ids, rx, kk)
+            keep = d2 <= limit[qi]
+            return pa.table({"vid": t.column("vid").combine_chunks().filter(pa.array(asked)),
+                             "near": _lists(qi[keep], near[keep], d2[keep], int(asked.sum()))})
+
+        more = q.unionByName(refs).groupBy("leaf", "part").applyInArrow(cross, f"vid bigint, near {pair}")
+        both = own.where(F.size("visits") > 0).select("vid", "near").unionByName(more)
+        # A vector's candidates: k + 1 per visited leaf.
+        best = both.groupBy("vid").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, kk).alias("near"))
+        lists = own.where(F.size("visits") == 0).select("vid", "near").unionByName(best)
+    answers = lists.join(uniq.select("vid", "x"), "vid").select("x", "near")
+    others = F.slice(F.filter("near", lambda c: c["id"] != F.col("_id")), 1, k)
+    return (pts.join(answers, "x").select("_id", F.posexplode(others).alias("_p", "_c"))
+            .select(F.col("_id").alias(key), F.col("_c.id").alias("nn_key"), F.col("_c.d2").alias("d2"),
+                    (F.col("_p") + 1).alias("nn_rank")))

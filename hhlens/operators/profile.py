@@ -6,6 +6,7 @@ Each report is a fixed number of passes over the data however many columns it co
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from hhlens.functions.recode import is_missing
-from hhlens.operators.ordered import exact_quantiles
+from hhlens.operators.ordered import column_moments, exact_quantiles, histograms
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -102,42 +103,21 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None, bins: int =
     """``skim``-like summary per numeric column: missing count, complete rate, mean, sd,
     p0/p25/p50/p75/p100 and a ``bins``-bin fixed-width histogram between min and max.
 
-    One pass over the data: the columns are unpivoted and counted per distinct value (a
-    checkpointed table, duplicates collapsed map-side); moments, range, histogram and the
-    exact quartiles are all computed from that table."""
-    from hhlens.operators.ordered import quantiles_from_counts, unpivot_long, value_counts
-    from hhlens.session import cut_lineage
-
+    A few wide passes (rows; moments; the two of the exact quartiles; bins between the
+    ranges), none of which moves a value."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    spark = df.sparkSession
-    n_rows = df.count()
-    vc = cut_lineage(value_counts(unpivot_long(df, cols), ["variable"]))
-    mom = vc.groupBy("variable").agg(
-        F.sum("cnt").alias("_nn"), F.min("value").alias("p0"), F.max("value").alias("p100"),
-        (F.sum(F.col("cnt") * F.col("value")) / F.sum("cnt")).alias("mean"))
-    j = vc.join(F.broadcast(mom), on="variable")          # one row per column: bounded
-    width = (F.col("p100") - F.col("p0")) / F.lit(float(bins))
-    b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("value") - F.col("p0")) / width), F.lit(bins - 1)))
-    dev = F.col("value") - F.col("mean")
-    second = j.groupBy("variable").agg(
-        F.sum(F.col("cnt") * dev * dev).alias("_ss"),
-        *[F.coalesce(F.sum(F.when(b == F.lit(i), F.col("cnt"))), F.lit(0)).cast("bigint").alias(f"h{i}")
-          for i in range(bins)])
-    q = quantiles_from_counts(vc, ["variable"], [0.25, 0.5, 0.75])
-    qp = q.groupBy("variable").agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(nm)
-                                     for p, nm in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
-    names = spark.createDataFrame([(c,) for c in cols], "variable string")
-    out = (names.join(mom, on="variable", how="left").join(second, on="variable", how="left")
-           .join(qp, on="variable", how="left"))
-    nn = F.coalesce(F.col("_nn"), F.lit(0))
-    return out.select(
-        "variable", (F.lit(n_rows) - nn).cast("bigint").alias("n_missing"),
-        (nn.cast("double") / F.lit(float(n_rows))).alias("complete_rate") if n_rows else
-        F.lit(None).cast("double").alias("complete_rate"),
-        "mean", F.sqrt(F.try_divide(F.col("_ss"), (nn - 1).cast("double"))).alias("sd"),
-        "p0", "p100", *[F.coalesce(F.col(f"h{i}"), F.lit(0).cast("bigint")).alias(f"h{i}") for i in range(bins)],
-        "p25", "p50", "p75")
+    n = df.count()
+    m = column_moments(df, cols)
+    q = {(r["variable"], r["p"]): r["q"] for r in exact_quantiles(df, cols, [0.25, 0.5, 0.75]).collect()}
+    h = histograms(df, {c: m[c][3:] for c in cols if c in m}, bins) if m else {}
+    rows = []
+    for c in cols:
+        nn, mean, m2, lo, hi = m.get(c, (0, None, None, None, None))
+        rows.append((c, n - nn, nn / n if n else None, mean, math.sqrt(m2 / (nn - 1)) if nn > 1 else None, lo, hi,
+                     *[h.get((c, k), 0) for k in range(bins)], *[q.get((c, p)) for p in (0.25, 0.5, 0.75)]))
+    return df.sparkSession.createDataFrame(
+        rows, "variable string, n_missing bigint, complete_rate double, mean double, sd double, p0 double, p100 double, "
+        + "".join(f"h{k} bigint, " for k in range(bins)) + "p25 double, p50 double, p75 double")
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -111,9 +111,11 @@ def linear_models(train: DataFrame, test: DataFrame, out: str, folds: int = spec
 
 # ----------------------------------------------------------------------------- T3
 def random_forest(train: DataFrame, test: DataFrame, out: str, quick: bool = False,
-                  parallelism: int = 2) -> dict:
+                  parallelism: int = 2, run: object = None) -> dict:
     """Trial forest (35 predictors) for importances, final forest (20 predictors) tuned
-    with 5-fold CV and SMOTE applied to each fold's training rows only."""
+    with 5-fold CV and SMOTE applied to each fold's training rows only.  Both keep a ledger
+    under ``out``: the same call on the same ``out`` goes on where a stopped one ended (``run``
+    names the input)."""
     y = specs.LABEL
     report = {}
     for stage, X, grid, trees in (
@@ -126,23 +128,10 @@ def random_forest(train: DataFrame, test: DataFrame, out: str, quick: bool = Fal
         d = sampling.partition_split(models.impute(train, values), y, specs.TRAIN_SHARE, specs.SEED)
         tr, hold = d.where("is_train = 1"), d.where("is_train = 0")
         tr = sampling.kfold(tr, y, specs.FOREST_FOLDS, specs.SEED)
-        cands = models.expand_grid(mtry=grid["mtry"], min_node_size=grid["min_node_size"])
-
-        def resample(part, fold, X=X):
-            syn = sampling.smote(part, y, X, "id", 1, k=5, seed=f"{specs.SEED}|{fold}")
-            return part.select("id", y, *X).unionByName(syn).withColumn("fold", F.lit(-1))
-
-        fit = lambda part, mtry, min_node_size, X=X, trees=trees: models.fit_forest(
-            part, X, y, mtry=int(mtry), min_node_size=int(min_node_size), num_trees=trees, seed=specs.SEED)
-        cv = models.cross_validate(tr, X, y, "fold", cands, fit, resample=resample, parallelism=parallelism)
-        res = models.tuning_results(cv, cands)
+        cv, res, best, model = models.tune_forest(
+            tr, X, y, grid, trees, seed=specs.SEED, parallelism=parallelism, ledger=f"{out}/forest_{stage}_ledger", run=run)
         io.write_store(res, f"{out}/forest_{stage}_tuning")
-        best = models.best_candidate(res, tie_break=(("mtry", True), ("min_node_size", True)))
-        full_train = tr.select("id", y, *X).unionByName(
-            sampling.smote(tr.select("id", y, *X), y, X, "id", 1, k=5, seed=specs.SEED))
-        model = fit(full_train, best["mtry"], best["min_node_size"])
-        cv.release()
-        io.write_store(models.importance_table(model, X, train.sparkSession), f"{out}/forest_{stage}_importance")
+        io.write_store(models.importance_table(model, X, train.sparkSession, top=20), f"{out}/forest_{stage}_importance")
         ph = models.prob_of_positive(model.transform(hold.withColumn(y, F.col(y).cast("double"))))
         ph = ph.withColumn("pred", F.col("prediction").cast("int")).withColumn(y, F.col(y).cast("int"))
         m = evaluate.binary_metrics(ph, "pred", y, 1).first().asDict()
@@ -178,7 +167,7 @@ def main(argv=None) -> None:
     for name, df in describe_households(train, department_lookup(spark), "Depto", "Nombre_Depto").items():
         io.write_store(df, f"{out}/describe_{name}")
     report = {"tables": paths, "linear": linear_models(train, test, out, quick=a.quick),
-              "forest": random_forest(train, test, out, quick=a.quick)}
+              "forest": random_forest(train, test, out, quick=a.quick, run=a.sf_dir)}
     print(json.dumps(report, default=str, indent=1))
 
 

@@ -24,11 +24,17 @@ _STORE: dict = {}
 
 
 def _inputs(spark: SparkSession, sf: str) -> tuple:
-    """Names, sizes and times of the input files: a stored table is reused only for these."""
-    cols = ["_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"]
-    rows = [r for t in ("orders", "customer", "lineitem")
-            for r in fx.table(spark, sf, t).select(*cols).distinct().collect()]
-    return tuple(sorted(map(str, rows)))
+    """Names, sizes and times of the input files (asked of their folders, no Spark job): a
+    stored table is reused only for these."""
+    files = {f for t in ("orders", "customer", "lineitem") for f in fx.table(spark, sf, t).inputFiles()}
+    path, conf, out = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration(), []
+    names = {path(f).toString() for f in files}
+    for folder in {f.rsplit("/", 1)[0] for f in files}:
+        there = path(folder)
+        for st in there.getFileSystem(conf).listStatus(there):
+            if st.getPath().toString() in names or path(folder, st.getPath().getName()).toString() in names:
+                out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return tuple(sorted(out)) or tuple(sorted(names))
 
 
 def _stored(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
@@ -98,12 +104,20 @@ def null_counts(spark, sf):
     return profile.null_counts(hogares_full(spark, sf, "train"))
 
 
+# Columns of person lines with real outliers beside those that have none.
+LINE_EXTRAS = {"unit_price": "l_extendedprice / l_quantity", "discount_amount": "l_extendedprice * l_discount",
+               "price_per_line": "l_extendedprice / l_linenumber", "tax_amount": "l_extendedprice * l_tax"}
+
+
 def iqr_outliers(spark, sf):
-    return profile.iqr_outliers(fx.personas(spark, sf), list(fx.PERSON_CODES))
+    """Outliers of the person codes and of what a person's line earns."""
+    p = fx.personas(spark, sf).withColumn("income_code", F.expr("l_extendedprice / P6040"))
+    return profile.iqr_outliers(p, [*fx.PERSON_CODES, "income_code"])
 
 
 def iqr_outliers_lineitem(spark, sf):
-    return profile.iqr_outliers(fx.table(spark, sf, "lineitem"), list(fx.LINEITEM_NUMERIC))
+    li = fx.table(spark, sf, "lineitem").withColumns({n: F.expr(e) for n, e in LINE_EXTRAS.items()})
+    return profile.iqr_outliers(li, [*fx.LINEITEM_NUMERIC, *LINE_EXTRAS])
 
 
 def iqr_outliers_households(spark, sf):
@@ -388,7 +402,7 @@ def _tuning(name):
         """Every candidate of the grid: folds, folds in which it equals the intercept-only
         model, and whether its fits are optimal and its fold means are proper rates."""
         cv, cands = _tuned(spark, sf, name)
-        bad = {c for (_, c), (_, gap) in cv.fits.items() if gap > linear_tuning.KKT_TOL}
+        bad = {c for (_, c), gap in linear_tuning.recheck(cv, cands).items() if not gap < 1e-6}
         res = models.tuning_results(cv, cands)
         per = cv.alias.groupBy("candidate").agg(
             F.count("*").alias("n_folds"), F.count_if(F.col("rep") == -1).alias("n_null"))
@@ -408,46 +422,74 @@ elastic_net_tuning = _tuning("elastic_net")
 
 
 def best_candidate(spark, sf):
-    """Per method: grid size and whether the chosen candidate has the highest mean accuracy
-    (ties: larger penalty, then smaller alpha)."""
+    """Per method: grid size and whether the chosen candidate is the one with the highest mean
+    accuracy (ties: larger penalty, then smaller alpha), the means taken again from the
+    confusion cells of every fold."""
     out = []
     for name in ("ridge", "lasso", "elastic_net"):
         cv, cands = _tuned(spark, sf, name)
-        res = models.tuning_results(cv, cands).select("candidate", "alpha", "reg", "Accuracy").collect()
-        best = models.best_candidate(spark.createDataFrame(res))
-        top = max(r.Accuracy for r in res)
-        rank = max((r.reg, -r.alpha) for r in res if r.Accuracy == top)
-        out.append((name, len(res), best["Accuracy"] == top and (best["reg"], -best["alpha"]) == rank))
+        best = models.best_candidate(models.tuning_results(cv, cands))
+        acc = {m: (r["tp"] + r["tn"]) / (r["tp"] + r["fp"] + r["fn"] + r["tn"]) for m, r in cv.rates.items()}
+        mean: dict = {}
+        for f, i, rep in cv.alias.collect():
+            mean.setdefault(i, []).append(acc[f, rep])
+        mean = {i: sum(v) / len(v) for i, v in mean.items()}
+        top = max(mean.values())
+        rank = max((cands[i]["reg"], -cands[i]["alpha"]) for i, v in mean.items() if v > top - 1e-12)
+        out.append((name, len(cands), abs(best["Accuracy"] - top) < 1e-9 and (best["reg"], -best["alpha"]) == rank))
     return spark.createDataFrame(out, "model string, n_candidates long, ok boolean")
 
 
 def oof_metrics(spark, sf):
     """Per fold of the lasso run: rows scored, models that scored them, and whether every
-    model scored every row once with a probability."""
-    cv, _ = _tuned(spark, sf, "lasso")
-    per = cv.oof.groupBy("fold", "candidate").agg(
-        F.count("*").alias("n"), F.count_distinct("id").alias("ids"),
-        F.count_if(F.col("prob").between(0, 1)).alias("fine"))
-    return per.groupBy("fold").agg(
-        F.max("n").alias("n_rows"), F.count("*").alias("n_models"),
-        F.bool_and((F.col("n") == F.col("ids")) & (F.col("n") == F.col("fine"))).alias("same")).select(
-        "fold", "n_rows", "n_models", F.col("same").alias("ok"))
+    model scored every row once; the held-out rows of the best candidate are made and must
+    have the counted rates."""
+    cv, cands = _tuned(spark, sf, "lasso")
+    best = models.best_candidate(models.tuning_results(cv, cands))["candidate"]
+    rep = {f: r for f, i, r in cv.alias.where(F.col("candidate") == best).collect()}
+    own = {r.fold: r for r in evaluate.five_stats(cv.held_out(best), "prob", "pred", specs.LABEL, 1, ["fold"])
+           .join(cv.held_out(best).groupBy("fold").agg(
+               F.count("*").alias("n"), F.count_distinct("id").alias("ids"),
+               F.count_if(F.col("prob").between(0, 1)).alias("fine")), "fold").collect()}
+    out = []
+    for f in sorted(own):
+        sizes = {sum(r[k] for k in ("tp", "fp", "fn", "tn")) for (g, _), r in cv.rates.items() if g == f}
+        r, o = cv.rates[f, rep[f]], own[f]
+        same = abs(r["auc"] - o.ROC) < 1e-9 and abs((r["tp"] + r["tn"]) / o.n - o.Accuracy) < 1e-12
+        out.append((f, max(sizes), sum(g == f for g, _ in cv.rates), len(sizes) == 1 and o.n == o.ids == o.fine and same))
+    return spark.createDataFrame(out, "fold int, n_rows long, n_models long, ok boolean")
 
 
-def fitted_models(spark, sf):
+def _fitted(spark, sf):
     """The four linear models, tuned over their full grids and refitted on all training
-    households: confusion cells add up to the households, rates follow from the cells, and
-    the fit separates the classes no worse than chance."""
-    X, d = specs.LINEAR_PREDICTORS, model_input(spark, sf)
+    households (once per application and input): name -> (best candidate, model)."""
+    memo = (spark.sparkContext.applicationId, sf, "linear", _inputs(spark, sf))
+    if memo not in _TUNED:
+        X, d, out = specs.LINEAR_PREDICTORS, model_input(spark, sf), {}
+        for name in ("logit", "ridge", "lasso", "elastic_net"):
+            best = {"reg": 0.0, "alpha": 0.0}
+            if name != "logit":
+                cv, cands = _tuned(spark, sf, name)
+                best = models.best_candidate(models.tuning_results(cv, cands))
+            out[name] = best, models.fit_logistic(d, X, specs.LABEL, best["reg"], best["alpha"])
+        _TUNED[memo] = out
+    return _TUNED[memo]
+
+
+def _fitted_scores(spark, sf, name, side="train"):
+    _, m = _fitted(spark, sf)[name]
+    d = model_input(spark, sf, side)
+    keep = [specs.LABEL] if side == "train" else []
+    scored = d.select("id", *keep, models.model_score_column(m).alias("prob"))
+    return scored.withColumn("pred", threshold("prob", specs.THRESHOLD))
+
+
+def fitted_models(spark, sf):
+    """Per fitted linear model: confusion cells add up to the households, rates follow from the
+    cells, and the fit separates the classes no worse than chance."""
     out = []
-    for name in ("logit", "ridge", "lasso", "elastic_net"):
-        best = {"reg": 0.0, "alpha": 0.0}
-        if name != "logit":
-            cv, cands = _tuned(spark, sf, name)
-            best = models.best_candidate(models.tuning_results(cv, cands))
-        m = models.fit_logistic(d, X, specs.LABEL, best["reg"], best["alpha"])
-        scored = d.select("id", specs.LABEL, models.model_score_column(m).alias("prob"))
-        scored = scored.withColumn("pred", threshold("prob", specs.THRESHOLD))
+    for name in _fitted(spark, sf):
+        scored = _fitted_scores(spark, sf, name)
         r = evaluate.binary_metrics(scored, "pred", specs.LABEL, 1).first()
         a = evaluate.auc(scored, "prob", specs.LABEL, 1).first()["auc"]
         n = r.tp + r.fp + r.fn + r.tn
@@ -456,32 +498,75 @@ def fitted_models(spark, sf):
     return spark.createDataFrame(out, "model string, n_rows long, n_pos long, ok boolean")
 
 
+def fitted_model_metrics(spark, sf):
+    """The comparison table of the fitted linear models as values (model, metric, value), with
+    their AUC, chosen penalties and the reported score."""
+    frames, more = {}, {("reported", "Kaggle"): specs.EXTERNAL_SCORE}
+    for name, (best, _) in _fitted(spark, sf).items():
+        scored = _fitted_scores(spark, sf, name)
+        frames[name] = evaluate.binary_metrics(scored, "pred", specs.LABEL, 1)
+        more |= {(name, "AUC"): evaluate.auc(scored, "prob", specs.LABEL, 1).first()["auc"],
+                 (name, "lambda"): best["reg"], (name, "alpha"): best["alpha"]}
+    return evaluate.comparison_table(frames, more)
+
+
+def fitted_predictions(spark, sf):
+    """Test predictions of the fitted ridge model, written under the survey's file name and read
+    back (id, pobre)."""
+    best, _ = _fitted(spark, sf)["ridge"]
+    name = spark.range(1).select(io.output_name("Ridge", F.lit(best["reg"]), F.lit(best["alpha"]))).first()[0]
+    pred = _fitted_scores(spark, sf, "ridge", "test").select("id", F.col("pred").alias("pobre"))
+    return io.read_predictions(spark, io.write_predictions(pred, f"{io.scratch(spark, 'ridge')}/{name}"))
+
+
 def _forest_split(spark, sf):
     return sampling.partition_split(model_input(spark, sf), specs.LABEL, specs.TRAIN_SHARE, specs.SEED)
 
 
+_TUNED: dict = {}
+
+
 def _trial_forest(spark, sf):
-    d, X = _forest_split(spark, sf), specs.FOREST_TRIAL_PREDICTORS
-    m = models.fit_forest(d.where("is_train = 1"), X, specs.LABEL, mtry=8, min_node_size=1,
-                          num_trees=specs.FOREST_TRIAL_TREES, seed=specs.SEED)
-    return m, d.where("is_train = 0"), X
+    """The trial forest, tuned over its whole grid with SMOTE in the training folds and refitted
+    with the best candidate (once per application and input): CV result, best, model, hold-out."""
+    memo = (spark.sparkContext.applicationId, sf, _inputs(spark, sf))
+    if memo not in _TUNED:
+        d, X, y = _forest_split(spark, sf), specs.FOREST_TRIAL_PREDICTORS, specs.LABEL
+        train = sampling.kfold(d.where("is_train = 1"), y, specs.FOREST_FOLDS, specs.SEED)
+        cv, _, best, model = models.tune_forest(train, X, y, specs.FOREST_TRIAL_GRID, specs.FOREST_TRIAL_TREES, seed=specs.SEED)
+        hold = io.read_store(spark, io.write_store(d.where("is_train = 0"), io.scratch(spark, "holdout")))
+        _TUNED[memo] = cv, best, model, hold
+    return _TUNED[memo]
 
 
 def forest_importance(spark, sf):
-    """Per predictor of the trial forest whether its importance is a share of 1, its scaled
-    form follows, and the table is ranked."""
-    m, _, X = _trial_forest(spark, sf)
-    rows = models.importance_table(m, X, spark).collect()
+    """Per predictor of the tuned trial forest whether its importance is a share of 1, its
+    scaled form follows, and the table is ranked."""
+    _, _, m, _ = _trial_forest(spark, sf)
+    rows = models.importance_table(m, specs.FOREST_TRIAL_PREDICTORS, spark).collect()
     imp = [r.importance for r in rows]
     whole = abs(sum(imp) - 1) < 1e-9 and imp == sorted(imp, reverse=True)
     return spark.createDataFrame([(r.variable, bool(whole and r.importance >= 0 and 0 <= r.scaled <= 100))
                                   for r in rows], "variable string, ok boolean")
 
 
+def forest_top_predictors(spark, sf):
+    """The 20 most important predictors of the tuned trial forest: per rank whether its
+    predictor is one of the model's, named once, and no other one is more important."""
+    _, _, m, _ = _trial_forest(spark, sf)
+    X = specs.FOREST_TRIAL_PREDICTORS
+    imp = dict(zip(X, m.stages[-1].featureImportances.toArray()))
+    rows = models.importance_table(m, X, spark, top=20).collect()
+    names = [r.variable for r in rows]
+    out = [(i + 1, r.variable in imp and names.count(r.variable) == 1 and abs(imp[r.variable] - r.importance) < 1e-12
+            and all(imp[o] <= r.importance for o in X if o not in names[:i + 1])) for i, r in enumerate(rows)]
+    return spark.createDataFrame([(i, bool(ok)) for i, ok in out], "rank long, ok boolean")
+
+
 def forest_holdout_metrics(spark, sf):
-    """Hold-out households and poor among them as the trial forest's confusion cells count
+    """Hold-out households and poor among them as the tuned trial forest's confusion cells count
     them, and whether its ROC beats chance and ends in its corners."""
-    m, hold, _ = _trial_forest(spark, sf)
+    _, _, m, hold = _trial_forest(spark, sf)
     p = models.prob_of_positive(m.transform(hold.withColumn(specs.LABEL, F.col(specs.LABEL).cast("double"))))
     p = p.withColumn("pred", F.col("prediction").cast("int")).withColumn(specs.LABEL, F.col(specs.LABEL).cast("int"))
     met = evaluate.binary_metrics(p, "pred", specs.LABEL, 1).first()
@@ -493,23 +578,33 @@ def forest_holdout_metrics(spark, sf):
                                  "n_rows long, n_pos long, ok boolean")
 
 
+def forest_predictions(spark, sf):
+    """Test households as the tuned trial forest predicts them, written as a prediction file and
+    read back: every household once, with the class that has the larger probability."""
+    _, _, m, _ = _trial_forest(spark, sf)
+    p = models.prob_of_positive(m.transform(model_input(spark, sf, "test")))
+    path = io.write_predictions(p.select("id", F.col("prediction").cast("int").alias("pobre")), io.scratch(spark, "predicciones_test"))
+    back = io.read_predictions(spark, path)
+    return back.join(p.select("id", "prob"), "id").select(
+        "id", (F.col("pobre") == (F.col("prob") > 0.5).cast("int")).alias("ok"))
+
+
 def forest_trial_tuning(spark, sf):
-    """The trial forest's whole grid over its folds: held-out rows per candidate, all of them
-    real households (none synthetic) that are scored once."""
-    X, y = specs.FOREST_TRIAL_PREDICTORS, specs.LABEL
-    d = sampling.kfold(_forest_split(spark, sf).where("is_train = 1"), y, specs.FOREST_FOLDS, specs.SEED)
+    """The trial forest's whole grid over its folds, SMOTE in the training folds: held-out rows
+    per candidate, all of them real households (none synthetic) that are scored once, and the
+    rows that a candidate's fits saw (both classes as large as the larger one)."""
+    cv, best, _, _ = _trial_forest(spark, sf)
+    n_train = 0
+    for f in range(specs.FOREST_FOLDS):
+        n_train += cv.ledger.table(f"train/fold={f}", None).count()
     cands = models.expand_grid(**specs.FOREST_TRIAL_GRID)
-    fit = lambda part, mtry, min_node_size: models.fit_forest(
-        part, X, y, mtry=mtry, min_node_size=min_node_size, num_trees=specs.FOREST_TRIAL_TREES, seed=specs.SEED)
-    cv = models.cross_validate(d, X, y, "fold", cands, fit)
-    oof = io.read_store(spark, io.write_store(cv.oof, io.scratch(spark, "forest_oof")))
-    per = oof.groupBy("candidate").agg(
+    per = cv.oof.groupBy("candidate").agg(
         F.count("*").alias("n_rows"), F.count_distinct("fold").alias("n_folds"), F.count_distinct("id").alias("_ids"),
         F.min("id").alias("_low"), F.count_if(F.col("prob").between(0, 1)).alias("_fine"))
     grid = spark.createDataFrame([(i, c["mtry"], c["min_node_size"]) for i, c in enumerate(cands)],
                                  "candidate int, mtry int, min_node_size int")
     return per.join(grid, "candidate").select(
-        "mtry", "min_node_size", "n_rows", "n_folds",
+        "mtry", "min_node_size", "n_rows", "n_folds", F.lit(n_train).cast("long").alias("n_train"),
         ((F.col("n_rows") == F.col("_ids")) & (F.col("n_rows") == F.col("_fine")) & (F.col("_low") >= 0)).alias("ok"))
 
 

@@ -22,6 +22,7 @@ def build_session(master: str | None = None, app: str = "hhlens",
     defaults = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.scheduler.mode": "FAIR",         # model fits run in pools of their own
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",

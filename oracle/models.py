@@ -85,11 +85,25 @@ def forest_holdout_metrics() -> str:
                        "FROM split WHERE NOT train")
 
 
+def forest_top_predictors() -> str:
+    return "SELECT range AS rank, true AS ok FROM range(1, 21)"
+
+
+def forest_predictions() -> str:
+    return full_cte("test") + "\nSELECT id, true AS ok FROM hogares_full"
+
+
 def forest_trial_tuning() -> str:
-    return _split() + (f"\nSELECT mtry, node AS min_node_size, (SELECT count(*) FROM split WHERE train) AS n_rows, "
-                       f"CAST({specs.FOREST_FOLDS} AS BIGINT) AS n_folds, true AS ok "
-                       f"FROM (VALUES {', '.join(f'({m})' for m in specs.FOREST_TRIAL_GRID['mtry'])}) a(mtry), "
-                       f"(VALUES {', '.join(f'({m})' for m in specs.FOREST_TRIAL_GRID['min_node_size'])}) b(node)")
+    k = specs.FOREST_FOLDS
+    return _split() + (f""",
+tf AS (SELECT Pobre, (row_number() OVER (PARTITION BY Pobre ORDER BY h, id) - 1) % {k} AS f FROM split WHERE train),
+seen AS (SELECT sum(2 * greatest(pos, neg))::BIGINT AS n FROM (
+  SELECT r.range AS fold, count(*) FILTER (WHERE Pobre = 1) AS pos, count(*) FILTER (WHERE Pobre <> 1) AS neg
+  FROM range({k}) r JOIN tf ON tf.f <> r.range GROUP BY r.range))
+SELECT mtry, node AS min_node_size, (SELECT count(*) FROM split WHERE train) AS n_rows,
+       CAST({k} AS BIGINT) AS n_folds, (SELECT n FROM seen) AS n_train, true AS ok
+FROM (VALUES {', '.join(f'({m})' for m in specs.FOREST_TRIAL_GRID['mtry'])}) a(mtry),
+     (VALUES {', '.join(f'({m})' for m in specs.FOREST_TRIAL_GRID['min_node_size'])}) b(node)""")
 
 
 def null_gradients() -> str:

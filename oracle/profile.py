@@ -1,6 +1,7 @@
 """Oracle SQL for the profiling reports (one SELECT per column, UNION ALL)."""
 
 from hhlens.plans import specs
+from hhlens.plans.registry import LINE_EXTRAS
 from hhlens.sources.fixtures import LINEITEM_NUMERIC, PERSON_CODES, cte
 from oracle.households import DOUBLE_FEATURES, HH_DOUBLE, JOINED, TRAIN_HH, full_cte
 
@@ -26,11 +27,13 @@ def _iqr(prefix: str, table: str, cols) -> str:
 
 
 def iqr_persons_sql() -> str:
-    return _iqr(cte("personas"), "personas", PERSON_CODES)
+    return _iqr(cte("personas") + ",\np AS (SELECT *, l_extendedprice / P6040 AS income_code FROM personas)", "p",
+                [*PERSON_CODES, "income_code"])
 
 
 def iqr_lineitem_sql() -> str:
-    return _iqr("", "lineitem", LINEITEM_NUMERIC)
+    more = ", ".join(f"{e} AS {n}" for n, e in LINE_EXTRAS.items())
+    return _iqr(f"WITH li AS (SELECT *, {more} FROM lineitem)", "li", [*LINEITEM_NUMERIC, *LINE_EXTRAS])
 
 
 def iqr_households_sql() -> str:
