@@ -8,8 +8,9 @@ language and its posterior are the prediction.
 
 Fitting uses a bounded sample of the labelled rows: about ``SAMPLE_ROWS`` distinct texts,
 chosen by a hash of the text and spread over the languages (a language with less than its even
-part gives all its texts, the others share what is left evenly).  It keeps the ``MAX_WORDS`` and ``MAX_NGRAMS`` most frequent
-entries, which bounds the broadcast model at every corpus size.  Prediction covers all rows.
+part gives all its texts, the others share what is left evenly), and of about ``SAMPLE_CHARS``
+characters dealt in the same way, whichever is less.  Every word and n-gram of the sample is
+kept; the sample bounds the broadcast model at every corpus size.  Prediction covers all rows.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; so is every
 text when there is nothing to learn from; equal scores go to the first language by code
@@ -30,8 +31,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from .common import cut_lineage, fresh
 
 SAMPLE_ROWS = 8_000
-MAX_WORDS = 200_000
-MAX_NGRAMS = 100_000
+SAMPLE_CHARS = 32_000_000
 LONGEST = 5
 STRETCH = 400
 SMOOTH = 0.5
@@ -96,15 +96,18 @@ class Model:
         return self.langs[best], float(1.0 / np.exp(total - total[best]).sum())
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MAX_WORDS,
-        max_ngrams: int = MAX_NGRAMS) -> Model:
+def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> Model:
     """Learns from the columns text and lang."""
     rows = labelled.where("lang is not null and text is not null").select("text", "lang")
-    counts = dict(rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02)).collect())
+    counts, chars = {}, {}
+    for lang, n, size in rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02),
+                                                  F.avg(F.length("text"))).collect():
+        counts[lang], chars[lang] = n, n * size
     if not counts:
         return Model([], [], np.zeros((0, 0)), [], np.zeros((0, 0)))
-    shares = [x for lang, s in _shares(counts, sample_rows).items()
-              for x in (F.lit(lang), F.lit(max(1, round(s * (1 << 40)))))]
+    by_rows, by_chars = _shares(counts, sample_rows), _shares(chars, sample_chars)
+    shares = [x for lang in counts for x in (
+        F.lit(lang), F.lit(max(1, round(min(by_rows[lang], by_chars[lang]) * (1 << 40)))))]
     sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 40))
                         < F.element_at(F.create_map(*shares), F.col("lang"))).distinct()
     found = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))
@@ -120,7 +123,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MA
     grams = marked.select("lang", "n", F.explode(F.concat(*pieces)).alias("w")).where("w <> '_'").groupBy(
         "w", "lang").agg(F.sum("n").alias("n"))
     langs = sorted(r[0] for r in words.select("lang").distinct().collect())
-    return Model(langs, *_log_rows(words, langs, max_words), *_log_rows(grams, langs, max_ngrams))
+    return Model(langs, *_log_rows(words, langs), *_log_rows(grams, langs))
 
 
 def _pieces(k: int) -> Column:
@@ -131,9 +134,9 @@ def _pieces(k: int) -> Column:
     return F.when(starts >= 1, found).otherwise(F.array().cast("array<string>"))
 
 
-def _shares(counts: dict[str, int], rows: int) -> dict[str, float]:
-    """The share of each language's texts in a sample of ``rows``, dealt evenly from the rarest
-    language on."""
+def _shares(counts: dict[str, float], rows: int) -> dict[str, float]:
+    """The share of each language's texts in a sample of ``rows`` (or characters), dealt evenly
+    from the rarest language on."""
     out, left = {}, rows
     for i, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
         part = left / (len(counts) - i)
@@ -142,14 +145,13 @@ def _shares(counts: dict[str, int], rows: int) -> dict[str, float]:
     return out
 
 
-def _log_rows(counts: DataFrame, langs: list[str], most: int) -> tuple[list[str], np.ndarray]:
-    """The ``most`` frequent entries with their log frequency per language."""
+def _log_rows(counts: DataFrame, langs: list[str]) -> tuple[list[str], np.ndarray]:
+    """All entries of the (bounded) sample with their log frequency per language, in order."""
     totals = dict(counts.groupBy("lang").agg(F.sum("n")).collect())
     own = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"l{i}")
            for i, x in enumerate(langs)]
-    by_word = cut_lineage(counts.groupBy("w").agg(F.sum("n").alias("n"), *own))
-    kinds = by_word.count()
-    top = by_word.orderBy(F.desc("n"), "w").limit(most).drop("n").toArrow()
+    top = counts.groupBy("w").agg(*own).toArrow().sort_by("w")
+    kinds = top.num_rows
     found = np.stack([top.column(f"l{i}").to_numpy() for i in range(len(langs))], axis=1)
     norm = np.array([totals.get(x, 0) + SMOOTH * kinds for x in langs])
     return top.column("w").to_pylist(), np.log((found + SMOOTH) / norm)

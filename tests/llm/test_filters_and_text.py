@@ -114,7 +114,7 @@ def test_too_few_tables_lose_no_leak(items, monkeypatch):
 
 
 def test_decontamination_blocks_ties_and_empties(docs_df, spark, monkeypatch):
-    monkeypatch.setattr(decontamination.blocks, "__defaults__", (1,))
+    monkeypatch.setattr(decontamination.blocks, "__defaults__", (1, 1 << 20))
     df = docs_df([(1, "one two three"), (None, "x one, TWO three y"), (3, "one two")])
     bench = spark.createDataFrame([(1, "one two three"), (1, "one two three"), (2, "one two three")],
                                   "item_id long, text string")
@@ -341,6 +341,23 @@ def test_a_rare_language_is_sampled(spark):
     assert langid._shares({"a": 5, "b": 10, "c": 1_000}, 45) == {"a": 1.0, "b": 1.0, "c": 0.03}
 
 
+def test_every_word_of_the_sample_is_kept_and_characters_bound_it(spark):
+    rows = [(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}x " * 20, "ab"[i % 2]) for i in range(2_000)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    whole = langid.fit(df)
+    assert len(whole.words) == 2_000
+    bounded = langid.fit(df, sample_chars=40_000)        # of about 360,000
+    assert 100 < len(bounded.words) < 450 and bounded.langs == ["a", "b"]
+
+
+def test_accuracy_of_every_language_on_the_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    rows = langid.predict(docs.where(langid.held_out(F.col("doc_id"))).select("text", "lang"), model).where(
+        "lang is not null").groupBy("lang").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")).alias("a")).collect()
+    assert len(rows) >= 4 and min(r.a for r in rows) >= 0.95
+
+
 def test_words_of_any_length_teach_their_n_grams(spark):
     rng = random.Random(1)
     words = ["".join(rng.choice("abcd") for _ in range(n)) for n in (1, 7, 101, 398, 400, 1_203)]
