@@ -20,7 +20,7 @@ item of n words if some stretch of it is within ``floor((1 - SIMILARITY) * n)``
 * Every candidate is verified by the exact edit distance (bit-parallel, free ends) over the
   stretch that its windows cover.
 
-The benchmark is read in blocks of ``BLOCK_ITEMS`` items; each block is broadcast and scans
+The benchmark is read in blocks of ``BLOCK_ITEMS`` items or ``BLOCK_CHARS`` characters; each block is broadcast and scans
 all documents, so its size is bounded whatever the benchmark's.
 
 Defined cases: null and empty texts leak nothing; items without a word match nothing; items
@@ -48,6 +48,8 @@ WALKS = 16
 MAX_TABLES = 512
 SIMULATED = 150
 BLOCK_ITEMS = 20_000
+BLOCK_CHARS = 16 << 20
+WALK_BYTES = 64 << 20
 _WORD = re.compile(r"[^\W_]+")
 LEAK = ArrayType(StructType([StructField("item_id", LongType()), StructField("at", IntegerType()),
                              StructField("distance", IntegerType()),
@@ -249,13 +251,17 @@ class Index:
 
     # -- search
 
+    def pad(self) -> int:
+        """Words of padding behind every text."""
+        return max((c["reach"] for c in self.classes), default=0) + self.steps + 1
+
     def scan(self, texts: list[str | None]) -> list[list[tuple[int | None, int, int, float]]]:
         """Per text its leaks: (item id, word position, edit distance, similarity), the best
         place of each item."""
         found: list[list] = [[] for _ in texts]
         if not self.items:
             return found
-        pad = max(c["reach"] for c in self.classes) + self.steps + 1
+        pad = self.pad()
         get, parts, begins, at = self.ids.get, [], [], 0
         for t in texts:
             s = np.array([get(w, 0) for w in words_of(t)], np.int64)
@@ -277,19 +283,20 @@ class Index:
             # Pairs inside the window: its last word starts none.
             live = np.flatnonzero((total[np.maximum(end - 1, 0)] - total[:-1] >= max(0, c["least"]))
                                   & (ids[:-1] > 0)) if c["least"] > 0 else np.flatnonzero(ids > 0)
-            for lo in range(0, len(live), 1 << 16):
-                some = live[lo:lo + (1 << 16)]
-                walks: dict[int, np.ndarray] = {}
-                for t, (coords, keys, owners) in enumerate(c["tables"]):
-                    w = t % WALKS
-                    if w not in walks:
-                        walks[w] = self.walk(ids, some, w, c["steps"])
-                    key, sound = self.keys(walks[w], t, coords)
-                    a, b = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
-                    hit = np.flatnonzero((b > a) & sound)
-                    for p, i, j in zip(some[hit].tolist(), a[hit].tolist(), b[hit].tolist()):
-                        for k in owners[i:j].tolist():
-                            spots.setdefault((k, p), [])
+            # One walk at a time, of as many windows as WALK_BYTES hold.
+            many = max(256, WALK_BYTES // (8 * c["steps"]))
+            for lo in range(0, len(live), many):
+                some = live[lo:lo + many]
+                for w in range(min(WALKS, len(c["tables"]))):
+                    walked = self.walk(ids, some, w, c["steps"])
+                    for t in range(w, len(c["tables"]), WALKS):
+                        coords, keys, owners = c["tables"][t]
+                        key, sound = self.keys(walked, t, coords)
+                        a, b = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+                        hit = np.flatnonzero((b > a) & sound)
+                        for p, i, j in zip(some[hit].tolist(), a[hit].tolist(), b[hit].tolist()):
+                            for k in owners[i:j].tolist():
+                                spots.setdefault((k, p), [])
         for k, p in self._piece_places(ids, shared, total, begins):
             spots.setdefault((k, p), [])
         return self._verify(spots, ids, begins, found)
@@ -321,19 +328,22 @@ class Index:
         return found
 
 
-def blocks(benchmark: DataFrame, size: int = BLOCK_ITEMS) -> Iterator[list[tuple[int | None, str | None]]]:
-    """The benchmark's items in bounded blocks."""
-    held = []
+def blocks(benchmark: DataFrame, size: int = BLOCK_ITEMS, chars: int = BLOCK_CHARS
+           ) -> Iterator[list[tuple[int | None, str | None]]]:
+    """The benchmark's items in blocks bounded by items and by characters (one item at least)."""
+    held, long = [], 0
     for r in benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator():
-        held.append((r[0], r[1]))
-        if len(held) == size:
+        if held and (len(held) == size or long + len(r[1] or "") > chars):
             yield held
-            held = []
+            held, long = [], 0
+        held.append((r[0], r[1]))
+        long += len(r[1] or "")
     if held:
         yield held
 
 
-AT_ONCE = 1 << 22
+#: Words and padding that are scanned at once (a word counts as four characters).
+AT_ONCE = 1 << 20
 
 
 def _scan(docs: DataFrame, items, text: str, keep: list[str], only_clean: bool,
@@ -347,10 +357,10 @@ def _scan(docs: DataFrame, items, text: str, keep: list[str], only_clean: bool,
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("at", pa.int32()),
                                    ("distance", pa.int32()), ("similarity", pa.float64())]))
         for b in batches:
-            leaks, some, size = [], [], 0
+            leaks, some, size, pad = [], [], 0, index.value.pad()
             for t in b.column(text):
                 some.append(t.as_py())
-                size += len(some[-1] or "")
+                size += len(some[-1] or "") // 4 + pad
                 if size > AT_ONCE:
                     leaks += index.value.scan(some)
                     some, size = [], 0
