@@ -41,6 +41,7 @@ from .common import cut_lineage
 LENGTH = 400
 GRAM = 128
 HOT = 20_000
+HOT_BYTES = 2 << 20                     # bytes of one gram's runs that are sorted together
 BLOCK = 1 << 18
 CHUNK = 1 << 21
 POSITION_BITS = 22
@@ -342,7 +343,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH,
     one = kept.groupBy("digest").agg(F.count("*").alias("seen"), F.min(
         F.struct("tid", "start", "n", "gram", "key")).alias("r")).select("digest", "seen", "r.*")
     one = cut_lineage(one)
-    hot = one.groupBy("key").count().where(F.col("count") > HOT).select("key", F.lit(True).alias("hot"))
+    hot = one.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.col("n") + F.lit(length - 1)).alias("b")).where(
+        (F.col("c") > HOT) | (F.col("b") > HOT_BYTES)).select("key", F.lit(True).alias("hot"))
     lists = one.join(hot, "key", "left").groupBy("tid").agg(F.collect_list(F.struct(
         "start", "n", "gram", "key", "digest", (F.col("seen") > 1).alias("twice"),
         F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs"))
@@ -377,8 +379,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH,
         again = fetched(True)
         for width in SPLITS:
             again = cut_lineage(split(again, width, length))
-            full = cut_lineage(again.groupBy("key").agg(F.count_distinct("digest", "skip").alias("c"))
-                               .where(F.col("c") > HOT).select("key"))
+            own = again.groupBy("key", "digest", "skip").agg(F.max(F.octet_length("body")).alias("b"))
+            full = cut_lineage(own.groupBy("key").agg(F.count("*").alias("c"), F.sum("b").alias("b"))
+                               .where((F.col("c") > HOT) | (F.col("b") > HOT_BYTES)).select("key"))
             if width > 1:
                 ranges = ranges.union(search(again.join(full, "key", "left_anti").select(*again.columns), length))
                 again = again.join(full, "key").select(*again.columns)

@@ -165,9 +165,10 @@ def run_suffix(df, texts, length, gram):
     return out
 
 
-@pytest.mark.parametrize("hot", [1, 20_000])
-def test_suffix_removal_equals_brute_force(docs_df, monkeypatch, hot):
+@pytest.mark.parametrize("hot, size", [(1, 2 << 20), (20_000, 2 << 20), (20_000, 120)])
+def test_suffix_removal_equals_brute_force(docs_df, monkeypatch, hot, size):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", size)
     monkeypatch.setattr(suffix_dedup, "SPLITS", (5, 1))
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdé\x00") for _ in range(rng.randint(1, 6)))
