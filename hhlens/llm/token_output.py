@@ -1,14 +1,16 @@
 """Token-ID output: packed sequences in training order, written as fixed-stride shards.
 
-1. Every input partition is tokenised as one stream (each document ends with ``eos``) that is
-   cut into sequences of ``seq_len`` ids; the last one of a partition is padded with ``eos``.
-   A first pass only counts the sequences of each partition, so that ids never need a stored
-   copy; offsets of partitions (one number each) give every sequence a dense index.
+1. Every input partition is tokenised once, as one stream (each document ends with ``eos``)
+   that is cut into sequences of ``seq_len`` ids, the last one padded with ``eos``.  They are
+   staged as one file per partition; a small table lists them.  Counts per partition (one
+   number each) give every sequence a dense index.
 2. A keyed Feistel permutation with cycle-walking over [0, n) maps the index to its global
    slot: the training order.  It is a bijection that needs no table and can be inverted.
-3. Slots are range-partitioned: shard = slot // shard_seqs.  A task writes whole shards in
-   slot order; a sequence is at byte (slot % shard_seqs) * stride of its shard, so a reader
-   streams files in order and resumes at any slot by arithmetic.
+3. Only the list is shuffled: slots are range-partitioned (shard = slot // shard_seqs) and a
+   task gathers up to ``WRITE_BYTES`` of whole shards at a time, reading each staged file once
+   per gathering in file order, and writes them in slot order.  A sequence is at byte
+   (slot % shard_seqs) * stride of its shard, so a reader streams files in order and resumes
+   at any slot by arithmetic.  The staged files go when the manifest is written.
 
 Files carry a name that is unique to the task attempt and count only through the manifest
 (written by Spark's committer), so lost executors and repeated attempts leave no wrong data.
@@ -17,7 +19,6 @@ Defined cases: a null or empty text is one ``eos``; a null doc_id is listed as n
 table writes no shard and an empty manifest.  A text of any length gets the ids of the whole
 text; only runs of more than ``PIECE`` white-space characters, on which the look-ahead can
 overflow the tokenizer's stack, are tokenised apart, at places where the split pattern cuts too.
-The input must be deterministic (a stored table): both passes compare their counts.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from .common import cut_lineage, fixed_splits, scratch_path, shared_fs
+from .common import cut_lineage, scratch_path, shared_fs
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the split pattern that belongs to the vocabulary.
@@ -47,6 +48,9 @@ SHARD_SEQS = 4_096
 KEY = "order-1"
 PIECE = 20_000
 ROUNDS = 6
+WRITE_BYTES = 64 << 20
+STAGED = ("part", "idx", "file", "n_tokens", "doc_ids")
+_STAGED = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.list_(pa.int64()))
 MANIFEST = ("slot long, shard long, file string, offset long, n_tokens int, "
             "doc_ids array<long>, sha256 string")
 
@@ -151,85 +155,106 @@ def write_shards(docs: DataFrame, out: str | None = None, tokenizer: str = TOKEN
     dtype = "<u2" if eos < 1 << 16 else "<u4"
     stride = seq_len * np.dtype(dtype).itemsize
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    staging = f"{out}/parts"
 
-    def count(batches):
-        encode, n = Encoder(vocabulary.value), 0
-        for b in batches:
-            n += sum(1 + len(encode(t.as_py() or "")) for t in b.column(1))
-        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()],
-                                          "n": [-(-n // seq_len)]})
-
-    with fixed_splits(spark):
-        counts = dict(sorted((r[0], r[1]) for r in
-                             text.mapInArrow(count, "part long, n long").collect()))
-    total = sum(counts.values())
-    starts, at = {}, 0
-    for p, n in counts.items():
-        starts[p], at = at, at + n
-    if not total:
-        return spark.createDataFrame([], MANIFEST + ", folder string")
-    keys = round_keys(key)
-
-    def place(batches):
+    def stage(batches):
+        """The sequences of one partition, written as one file; a row for each."""
         encode, p = Encoder(vocabulary.value), TaskContext.get().partitionId()
-        index, seqs = starts.get(p, 0), []
+        name, sink, rows, index = f"part-{p:08d}-{uuid.uuid4().hex[:8]}.bin", None, [], 0
 
         def flush():
-            slots = permute(np.arange(index - len(seqs), index), total, keys)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(slots), pa.array([s[0] for s in seqs], pa.binary()),
-                 pa.array([s[1] for s in seqs], pa.int32()),
-                 pa.array([s[2] for s in seqs], pa.list_(pa.int64()))],
-                names=["slot", "payload", "n_tokens", "doc_ids"])
-
-        for s in _sequences(batches, encode, seq_len, eos, dtype):
-            seqs.append(s)
+            cols = [[p] * len(rows), [r[0] for r in rows], [name] * len(rows), [r[1] for r in rows], [r[2] for r in rows]]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _STAGED)], names=list(STAGED))
+
+        for payload, n, ids in _sequences(batches, encode, seq_len, eos, dtype):
+            if sink is None:
+                fs, base = shared_fs(staging)
+                fs.create_dir(base, recursive=True)
+                sink = fs.open_output_stream(f"{base}/{name}", compression=None)
+            sink.write(payload)
+            rows.append((index, n, ids))
             index += 1
-            if len(seqs) == 512:
+            if len(rows) == 2_048:
                 yield flush()
-                seqs = []
-        if seqs:
+                rows = []
+        if sink:
+            sink.close()
+        if rows:
             yield flush()
-        if index - starts.get(p, 0) != counts.get(p, 0):
-            raise RuntimeError(f"partition {p} changed between the two passes")
+
+    staged = cut_lineage(text.mapInArrow(stage, "part long, idx long, file string, n_tokens int, doc_ids array<long>"))
+    starts, total = {}, 0
+    for part, n in sorted(tuple(r) for r in staged.groupBy("part").count().collect()):
+        starts[part], total = total, total + n
+    if not total:
+        return spark.createDataFrame([], MANIFEST + ", folder string")
+    keys = round_keys(key)
+    first = spark.sparkContext.broadcast(starts)            # one number per input partition
+
+    def place(batches):
+        for b in batches:
+            at = first.value
+            index = np.array([at[p] for p in b.column("part").to_pylist()], np.int64) + b.column("idx").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(permute(index, total, keys)), *b.columns[1:]],
+                                             names=["slot", *STAGED[1:]])
 
     n_shards = -(-total // shard_seqs)
     tasks = max(1, min(n_shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     each = -(-n_shards // tasks) * shard_seqs  # slots of one range
-    placed = text.mapInArrow(place, "slot long, payload binary, n_tokens int, doc_ids array<long>")
+    placed = staged.mapInArrow(place, "slot long, idx long, file string, n_tokens int, doc_ids array<long>")
     ranged = placed.repartitionById(tasks, F.floor(F.col("slot") / each).cast("int")) \
         .sortWithinPartitions("slot")
 
     def write(batches):
         fs, base = shared_fs(out)
-        fs.create_dir(base, recursive=True)
-        shard, name, sink, pos = -1, "", None, 0
-        for b in batches:
+        _, parts = shared_fs(staging)
+        held: list[tuple] = []
+
+        def flush():
+            """The held sequences (whole shards): read in the order of the staged files, written
+            in slot order."""
+            data = bytearray(len(held) * stride)
+            name = src = None
+            for i in sorted(range(len(held)), key=lambda i: held[i][1:3]):
+                if held[i][1] != name:
+                    if src:
+                        src.close()
+                    name = held[i][1]
+                    src = fs.open_input_file(f"{parts}/{name}")
+                data[i * stride:(i + 1) * stride] = src.read_at(stride, held[i][2] * stride)
+            src.close()
             rows = {c: [] for c in ("slot", "shard", "file", "offset", "n_tokens", "doc_ids", "sha256")}
-            for slot, payload, n, ids in zip(*[b.column(c).to_pylist() for c in
-                                               ("slot", "payload", "n_tokens", "doc_ids")]):
-                if slot // shard_seqs != shard:
-                    if sink:
-                        sink.close()
-                    shard, pos = slot // shard_seqs, 0
-                    name = f"shard-{shard:08d}-{uuid.uuid4().hex[:8]}.bin"
-                    sink = fs.open_output_stream(f"{base}/{name}", compression=None)
-                if pos != (slot % shard_seqs) * stride:
-                    raise RuntimeError(f"slot {slot} is out of order in its shard")
-                sink.write(payload)
-                for c, v in zip(rows, (slot, shard, name, pos, n, ids,
-                                       hashlib.sha256(payload).hexdigest())):
-                    rows[c].append(v)
-                pos += stride
-            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([
+            view = memoryview(data)
+            for lo in range(0, len(held), shard_seqs):
+                shard = held[lo][0] // shard_seqs
+                file = f"shard-{shard:08d}-{uuid.uuid4().hex[:8]}.bin"
+                hi = min(lo + shard_seqs, len(held))
+                if [h[0] for h in held[lo:hi]] != list(range(shard * shard_seqs, shard * shard_seqs + hi - lo)):
+                    raise RuntimeError(f"shard {shard} lacks a slot")
+                with fs.open_output_stream(f"{base}/{file}", compression=None) as sink:
+                    sink.write(view[lo * stride:hi * stride])
+                for i in range(lo, hi):
+                    slot, _, _, n, ids = held[i]
+                    for c, v in zip(rows, (slot, shard, file, (i - lo) * stride, n, ids,
+                                           hashlib.sha256(view[i * stride:(i + 1) * stride]).hexdigest())):
+                        rows[c].append(v)
+            return pa.RecordBatch.from_pydict(rows, schema=pa.schema([
                 ("slot", pa.int64()), ("shard", pa.int64()), ("file", pa.string()),
                 ("offset", pa.int64()), ("n_tokens", pa.int32()),
                 ("doc_ids", pa.list_(pa.int64())), ("sha256", pa.string())]))
-        if sink:
-            sink.close()
 
-    with fixed_splits(spark):
-        manifest = cut_lineage(ranged.mapInArrow(write, MANIFEST))
+        for b in batches:
+            for row in zip(*[b.column(c).to_pylist() for c in ("slot", "file", "idx", "n_tokens", "doc_ids")]):
+                if row[0] % shard_seqs == 0 and (len(held) + shard_seqs) * stride > WRITE_BYTES:
+                    yield flush()
+                    held = []
+                held.append(row)
+        if held:
+            yield flush()
+
+    manifest = cut_lineage(ranged.mapInArrow(write, MANIFEST))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staging)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return manifest.withColumn("folder", F.lit(out))
 
 

@@ -1,5 +1,7 @@
 import base64
 import hashlib
+import os
+import tracemalloc
 from collections import Counter
 
 import duckdb
@@ -8,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hhlens.llm import queries, simhash, token_output, warc
+from hhlens.llm import decontamination, queries, simhash, token_output, warc
 from hhlens.llm.decontamination import Index, allowed, words_of
 
 PAGES = "page_id long, url string, html string, at string, digest string"
@@ -112,6 +114,43 @@ def test_shards_hold_every_token_once_and_resume(docs_df):
     assert {(r.slot, r.sha256) for r in again.collect()} == {(r.slot, r.sha256) for r in m.collect()}
 
 
+def test_every_slot_holds_the_sequence_that_packing_by_hand_puts_there(spark, docs_df, monkeypatch):
+    """Partition by partition: one stream of ids, cut every 32, sequence k at slot permute(k)."""
+    monkeypatch.setattr(token_output, "WRITE_BYTES", 1_000)
+    df = docs_df([(i, f"a text, number {i}. " * (i % 13)) for i in range(90)]).select("doc_id", "text")
+    parts = df.rdd.glom().collect()
+    with open(token_output.TOKENIZER, "rb") as f:
+        enc = token_output.Encoder(f.read())
+    want = []
+    for rows in parts:
+        ids = [x for r in rows for x in [*enc(r.text or ""), token_output.EOS]]
+        owners = [r.doc_id for r in rows for _ in [*enc(r.text or ""), token_output.EOS]]
+        for at in range(0, len(ids), 32):
+            own = ids[at:at + 32]
+            want.append((own + [token_output.EOS] * (32 - len(own)), len(own), list(dict.fromkeys(owners[at:at + 32]))))
+    slots = token_output.permute(np.arange(len(want)), len(want), token_output.round_keys(token_output.KEY))
+    m = token_output.write_shards(df, seq_len=32, shard_seqs=5)
+    got = {r.slot: (r.tokens, r.n_tokens, r.doc_ids) for r in token_output.read_shards(m, seq_len=32).collect()}
+    assert got == {int(s): w for s, w in zip(slots, want)}
+    folder = m.first().folder
+    names = {r.file for r in m.collect()}
+    assert {x for x in os.listdir(folder.removeprefix("file:")) if x.endswith(".bin")} == names
+    for name in names:      # a shard's bytes are its sequences in slot order
+        rows = sorted((r.slot for r in m.collect() if r.file == name))
+        with open(f"{folder.removeprefix('file:')}/{name}", "rb") as f:
+            assert np.frombuffer(f.read(), "<u2").tolist() == [x for s in rows for x in got[s][0]]
+
+
+def test_a_damaged_shard_is_an_error(docs_df):
+    m = token_output.write_shards(docs_df([(i, "some text " * 40) for i in range(9)]), seq_len=32, shard_seqs=5)
+    path = m.first().folder.removeprefix("file:") + "/" + m.first().file
+    with open(path, "r+b") as f:
+        f.seek(m.first().offset)
+        f.write(b"\xff\xff")
+    with pytest.raises(Exception, match="damaged sequence"):
+        token_output.checked(m, seq_len=32).collect()
+
+
 def test_long_texts_get_the_ids_of_the_whole_text():
     with open(token_output.TOKENIZER, "rb") as f:
         encode = token_output.Encoder(f.read())
@@ -160,23 +199,6 @@ def test_stages_keep_columns_and_take_effect(spark, docs_df, tmp_path):
     assert sorted(r.slot for r in whole) == list(range(len(whole)))
 
 
-def test_leaks_on_the_tables_equal_a_full_search(spark):
-    """Every document against every item, by the plain definition (verbatim or not)."""
-    from .test_filters_and_text import levenshtein_inside
-    sf = "/root/testdata/sf0.001"
-    got = {(r.doc_id, r.item_id): r.distance
-           for r in queries.op1_benchmark_decontamination(spark, sf).collect()}
-    items = duckdb.sql(f"select item_id, text from '{sf}/benchmark.parquet'").fetchall()
-    docs = duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall()
-    for d, t in docs[:60]:
-        words = words_of(t)[:400]
-        for i, x in items[:10]:
-            w = words_of(x)
-            dist = levenshtein_inside(w, words)
-            if dist <= allowed(len(w)):
-                assert got[d, i] <= dist
-
-
 def full_search(items, texts):
     """(number of the text, item id) -> least distance, by the plain dynamic programme over all
     texts at once; gaps longer than any item keep them apart."""
@@ -199,6 +221,37 @@ def full_search(items, texts):
     return out
 
 
+def test_the_leak_query_equals_a_full_search_both_ways(spark):
+    """All whole documents of the small table against all items: the query's rows, no more and no less."""
+    sf = "/root/testdata/sf0.001"
+    items = duckdb.sql(f"select item_id, text from '{sf}/benchmark.parquet'").fetchall()
+    docs = duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall()
+    want = {(docs[n][0], i): d for (n, i), d in full_search(items, [t for _, t in docs]).items()}
+    rows = queries.op1_benchmark_decontamination(spark, sf).collect()
+    assert {(r.doc_id, r.item_id): r.distance for r in rows} == want and len(rows) == len(want)
+
+
+def test_a_long_text_of_copies_is_scanned_in_bounded_memory(monkeypatch):
+    """60 copies of a 600-word item in one text; small walk chunks change nothing."""
+    rng = np.random.default_rng(0)
+    item = " ".join(f"w{x}" for x in rng.integers(0, 3_000, 600))
+    index, text = Index([(7, item)]), " filler words ".join([item] * 60)
+    tracemalloc.start()
+    got = index.scan([text, "filler"])
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert [(x[0], x[2]) for x in got[0]] == [(7, 0)] and got[1] == [] and peak < 500
+    monkeypatch.setattr(decontamination, "WALK_BYTES", 1 << 16)
+    assert index.scan([text, "filler"]) == got
+
+
+def test_blocks_are_bounded_by_items_and_characters(spark):
+    df = spark.createDataFrame([(i, "word " * (i % 4)) for i in range(10)] + [(99, None)], "item_id long, text string").coalesce(1)
+    sizes = [len(b) for b in decontamination.blocks(df, size=4, chars=20)]
+    assert sum(sizes) == 11 and max(sizes) <= 4 and len(sizes) >= 4
+    assert all(sum(len(t or "") for _, t in b) <= 20 for b in decontamination.blocks(df, size=4, chars=20))
+
+
 def test_leaks_equal_a_full_search_both_ways_with_planted_copies():
     """Whole texts and all items of the table, and copies with opening, middle and closing edits."""
     sf = "/root/testdata/sf0.001"
