@@ -182,15 +182,12 @@ def _visits(x: np.ndarray, r2: np.ndarray, own: int, boxes, need: int) -> list[n
 
 
 # --------------------------------------------------------------------------- the operator
-def knn_exact(df: DataFrame, key: str, features: Sequence[str], k: int = 5,
-              bucket_rows: int = LEAF_ROWS, report: dict | None = None) -> DataFrame:
-    """(key, nn_key, d2, nn_rank): the k nearest other rows of every row by Euclidean distance
-    over ``features`` (squared distance ``d2``, rank 1..k, ties by nn_key; keys are unique).
-    ``report`` receives the number of distinct vectors, leaves and visits."""
+def distinct_vectors(df: DataFrame, key: str, features: Sequence[str], kk: int) -> tuple[DataFrame, DataFrame]:
+    """Stored points (_id, x) and distinct vectors (x, the ``kk`` smallest keys ``ids``, the
+    smallest of them ``vid``); rows with a NULL or NaN feature are in neither."""
     from hhlens.session import cut_lineage
 
-    spark, feats, d, kk = df.sparkSession, list(features), len(features), k + 1
-    cols = [F.col(c).cast("double") + F.lit(0.0) for c in feats]            # -0.0 becomes 0.0
+    cols = [F.col(c).cast("double") + F.lit(0.0) for c in features]         # -0.0 becomes 0.0
     fine = F.lit(True)
     for c in cols:
         fine = fine & c.isNotNull() & ~F.isnan(c)
@@ -199,6 +196,27 @@ def knn_exact(df: DataFrame, key: str, features: Sequence[str], k: int = 5,
     uniq = cut_lineage(pts.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= kk)
                        .groupBy("x").agg(F.array_sort(F.collect_list("_id")).alias("ids"))
                        .withColumn("vid", F.col("ids")[0]))
+    return pts, uniq
+
+
+def ranked_answers(pts: DataFrame, uniq: DataFrame, lists: DataFrame, key: str, k: int) -> DataFrame:
+    """Every row's first ``k`` candidates but itself, from the lists (vid, near) of its vector."""
+    answers = lists.join(uniq.select("vid", "x"), "vid").select("x", "near")
+    others = F.slice(F.filter("near", lambda c: c["id"] != F.col("_id")), 1, k)
+    return (pts.join(answers, "x").select("_id", F.posexplode(others).alias("_p", "_c"))
+            .select(F.col("_id").alias(key), F.col("_c.id").alias("nn_key"), F.col("_c.d2").alias("d2"),
+                    (F.col("_p") + 1).alias("nn_rank")))
+
+
+def knn_exact(df: DataFrame, key: str, features: Sequence[str], k: int = 5,
+              bucket_rows: int = LEAF_ROWS, report: dict | None = None) -> DataFrame:
+    """(key, nn_key, d2, nn_rank): the k nearest other rows of every row by Euclidean distance
+    over ``features`` (squared distance ``d2``, rank 1..k, ties by nn_key; keys are unique).
+    ``report`` receives the number of distinct vectors, leaves and visits."""
+    from hhlens.session import cut_lineage
+
+    spark, d, kk = df.sparkSession, len(features), k + 1
+    pts, uniq = distinct_vectors(df, key, features, kk)
     n = uniq.count()
     cores = spark.sparkContext.defaultParallelism
     leaf_rows = min(bucket_rows, max(64, math.ceil(n / (4 * cores))))
@@ -275,8 +293,4 @@ def knn_exact(df: DataFrame, key: str, features: Sequence[str], k: int = 5,
         # A vector's candidates: k + 1 per visited leaf.
         best = both.groupBy("vid").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, kk).alias("near"))
         lists = own.where(F.size("visits") == 0).select("vid", "near").unionByName(best)
-    answers = lists.join(uniq.select("vid", "x"), "vid").select("x", "near")
-    others = F.slice(F.filter("near", lambda c: c["id"] != F.col("_id")), 1, k)
-    return (pts.join(answers, "x").select("_id", F.posexplode(others).alias("_p", "_c"))
-            .select(F.col("_id").alias(key), F.col("_c.id").alias("nn_key"), F.col("_c.d2").alias("d2"),
-                    (F.col("_p") + 1).alias("nn_rank")))
+    return ranked_answers(pts, uniq, lists, key, k)

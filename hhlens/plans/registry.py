@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hhlens.functions.recode import add_dummies, dummy_levels, threshold
-from hhlens.operators import describe, evaluate, linear_tuning, models, ordered, profile, sampling
+from hhlens.operators import describe, evaluate, heavy, linear_tuning, models, ordered, profile, sampling
 from hhlens.plans import households as hh
 from hhlens.plans import specs
 from hhlens.plans.common import rounded
@@ -56,6 +56,22 @@ def household_rollup_train(spark, sf):
     return rounded(build_hogares_full(spark, sf, "train"))
 
 
+def household_rollup_bucketed(spark, sf):
+    """The rollup over persons and households stored in buckets of their household: no exchange
+    (``io.write_bucketed``); the stores are made once per application and input."""
+    sources = {"personas": fx.personas(spark, sf), "hogares": fx.hogares(spark, sf, "train")}
+    n = io.bucket_count(spark, *sources.values())
+    tables = {}
+    for name, df in sources.items():
+        memo_key = (spark.sparkContext.applicationId, sf, f"bucketed_{name}", n, _inputs(spark, sf))
+        if memo_key not in _STORE:
+            path = io.scratch(spark, f"bucketed_{name}")
+            _STORE[memo_key] = path, io.write_bucketed(df, path, "id", n)
+        path, bucketed = _STORE[memo_key]
+        tables[name] = io.read_bucketed(spark, path, "id", n) if bucketed else io.read_store(spark, path)
+    return rounded(hh.household_table(tables["personas"], tables["hogares"], member_order=fx.HEAD_ORDER))
+
+
 def household_rollup_test(spark, sf):
     return rounded(build_hogares_full(spark, sf, "test"))
 
@@ -133,6 +149,11 @@ def factor_profile(spark, sf):
     return rounded(profile.factor_profile(fx.personas(spark, sf), specs.FACTOR_COLUMNS))
 
 
+def factor_top_levels(spark, sf):
+    """The five most frequent levels of factors with few and with very many levels."""
+    return heavy.top_levels(fx.personas(spark, sf), [*specs.FACTOR_COLUMNS, "P6800", "l_suppkey", "l_partkey", "id"], 5)
+
+
 def poverty_by_lookup(spark, sf):
     """Poverty share by department with the names of the inline department table."""
     look = io.lookup_table(spark, specs.DEPARTAMENTOS, "code int, Nombre_Depto string")
@@ -655,3 +676,12 @@ def knn_minority(spark, sf):
     X = specs.FOREST_FINAL_PREDICTORS
     d = model_input(spark, sf).where(F.col(specs.LABEL) == 1).select("id", *X)
     return knn_exact(d, "id", X, 5).select("id", "nn_key", "nn_rank")
+
+
+def knn_minority_lsh(spark, sf):
+    """Approximate 5 nearest minority neighbours (tables derived for a recall of 0.9)."""
+    from hhlens.operators.neighbors_lsh import knn_lsh
+
+    X = specs.FOREST_FINAL_PREDICTORS
+    d = model_input(spark, sf).where(F.col(specs.LABEL) == 1).select("id", *X)
+    return knn_lsh(d, "id", X, 5, recall=0.9, seed=specs.SEED).select("id", "nn_key", "nn_rank")

@@ -7,6 +7,8 @@ machine-local temporary folder.
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +43,59 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Aimed size of a bucket, and how far over the mean bucket (and over this many rows) a table's
+# largest one may be: a bucket is read by one task.
+BUCKET_BYTES = 256 << 20
+BUCKET_SKEW = 8
+BUCKET_ROWS = 1_000_000
+
+
+def bucket_count(spark: SparkSession, *tables: DataFrame) -> int:
+    """One number of buckets for tables that join: the bytes of the largest source they scan
+    over ``BUCKET_BYTES``, at least one per core, at most what Spark allows.  (A join's own
+    planned size is the product of its sides, far too much.)"""
+    size = 0
+    for t in tables:
+        leaves = t._jdf.queryExecution().optimizedPlan().collectLeaves()
+        size = max([size, *[int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]])
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return max(1, min(most, max(spark.sparkContext.defaultParallelism, math.ceil(size / BUCKET_BYTES))))
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> bool:
+    """Store whose files are bucketed and sorted by ``key``: group-bys and joins on it need no
+    exchange, each file a task reads is in key order.  One exchange deals the rows, so a bucket is one file.
+
+    A bucket is read by one task, so a key that holds much of the table must not be bucketed:
+    where the largest bucket (counted first; at most ``buckets`` rows leave the count) has
+    over ``BUCKET_ROWS`` rows and ``BUCKET_SKEW`` mean buckets, or there is no row (and so no
+    bucket file to hold the schema), the plain store is written and False returned.  A NULL
+    key has a bucket like any other."""
+    spark = df.sparkSession
+    sizes = df.groupBy(F.pmod(F.hash(key), F.lit(buckets)).alias("b")).agg(F.count("*").alias("n"))
+    top, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    if top is None or (top > BUCKET_ROWS and top > BUCKET_SKEW * total / buckets):
+        write_store(df, path)
+        return False
+    name = f"store_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.format("parquet").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    spark.sql(f"DROP TABLE {name}")                    # external: the files stay
+    return True
+
+
+def read_bucketed(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
+    """A store of ``write_bucketed`` (of any application) with its buckets known to the planner.
+    The table entry lives in the session's catalog under a name made from the path."""
+    name = f"store_{uuid.uuid5(uuid.NAMESPACE_URL, f'{path}|{key}|{buckets}').hex}"
+    if not spark.catalog.tableExists(name):
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+        where = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY (`{key}`) "
+                  f"SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{where}'")
+    return spark.table(name)
+
+
 def write_predictions(df: DataFrame, path: str, key: str = "id", pred: str = "pobre",
                       mode: str = "overwrite") -> str:
     """``write.csv(data.frame(id, pobre), row.names = FALSE)``: two columns with a header.

@@ -101,3 +101,12 @@ SELECT lv.variable, CAST(sum(CASE WHEN level IS NULL THEN n ELSE 0 END) AS BIGIN
        round(1.0 - sum(CASE WHEN level IS NULL THEN n ELSE 0 END) / CAST(sum(n) AS DOUBLE), 6) AS complete_rate,
        count(level) AS n_unique, any_value(top_counts) AS top_counts
 FROM lv LEFT JOIN t ON t.variable = lv.variable GROUP BY lv.variable"""
+
+
+def factor_top_levels_sql(top: int = 5) -> str:
+    cols = [*specs.FACTOR_COLUMNS, "P6800", "l_suppkey", "l_partkey", "id"]
+    parts = [f"SELECT '{c}' AS variable, CAST({c} AS VARCHAR) AS level, count(*) AS n FROM personas "
+             f"WHERE {c} IS NOT NULL GROUP BY {c}" for c in cols]
+    return cte("personas") + ",\nlv AS (" + "\nUNION ALL ".join(parts) + f""")
+SELECT variable, CAST(rank AS INT) AS rank, level, n FROM (
+  SELECT *, row_number() OVER (PARTITION BY variable ORDER BY n DESC, level) AS rank FROM lv) t WHERE rank <= {top}"""
