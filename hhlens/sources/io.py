@@ -126,9 +126,11 @@ def confirm_sink(spark: SparkSession, path: str, expected: DataFrame, schema: st
 
 
 def fmt_param(x: Column, decimals: int = 4) -> Column:
-    """A parameter as R prints ``round(x, 4)``: 4 decimals, trailing zeros dropped."""
+    """A parameter below 1e5 as R prints ``round(x, 4)``: 4 decimals, trailing zeros dropped, and
+    ``1e-04`` to ``9e-04`` where that is shorter."""
     s = F.format_string(f"%.{decimals}f", x.cast("double"))
-    return F.regexp_replace(F.regexp_replace(s, r"0+$", ""), r"\.$", "")
+    s = F.regexp_replace(F.regexp_replace(s, r"0+$", ""), r"\.$", "")
+    return F.regexp_replace(s, r"^(-?)0\.000([1-9])$", "$1$2e-04")
 
 
 def output_name(model: str, reg: Column, alpha: Column) -> Column:

@@ -135,7 +135,8 @@ def pruned_grid() -> str:
 
 def output_name() -> str:
     def fmt(x):
-        return (f"replace(regexp_replace(regexp_replace(printf('%.4f', {x}), '0+$', ''), '\\.$', ''), '.', '_')")
+        short = f"regexp_replace(regexp_replace(printf('%.4f', {x}), '0+$', ''), '\\.$', '')"
+        return f"replace(regexp_replace({short}, '^(-?)0\\.000([1-9])$', '\\1\\2e-04'), '.', '_')"
     return (_input() + f",\ng AS (SELECT {_gmax()} AS gmax)\n"
             f"SELECT CAST(a AS DOUBLE) AS alpha, 'Ridge_lambda_' || {fmt('gmax / a')} || '_alpha_' || "
             f"{fmt('CAST(a AS DOUBLE)')} || '.csv' AS name FROM g, (VALUES {ALPHAS}) v(a)")

@@ -65,3 +65,12 @@ def test_prediction_sink_roundtrip(spark):
     assert sorted(tuple(r) for r in io.read_predictions(spark, path).collect()) == [(1, 1), (2, 0)]
     name = spark.range(1).select(io.output_name("Ridge", F.lit(0.12345), F.lit(0.0)).alias("n")).first()["n"]
     assert name == "Ridge_lambda_0_1235_alpha_0.csv"
+
+
+def test_small_parameters_print_in_exponent_form(spark):
+    from hhlens.sources import io
+
+    values = {0.0: "0", 1e-4: "1e-04", 0.00094: "9e-04", 0.00099: "0.001", 0.0012: "0.0012", -2e-4: "-2e-04",
+              1.0001: "1.0001", 10.0: "10", 0.5: "0.5"}
+    got = spark.createDataFrame([(v,) for v in values], "x double").select("x", io.fmt_param(F.col("x")).alias("s")).collect()
+    assert {r.x: r.s for r in got} == values
