@@ -10,6 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hhlens.functions.recode import decode  # noqa: F401  (re-exported)
+from hhlens.operators.ordered import BROADCAST_ROWS, exact_quantiles, null_safe, prefix_counts
+from hhlens.session import cut_lineage
+
+# Groups that one window may rank.
+RANK_GROUPS = 100_000
 
 
 def class_share(df: DataFrame, label: str, labels: Mapping | None = None) -> DataFrame:
@@ -50,14 +55,19 @@ def ordered_group_shares(df: DataFrame, group: str, label: str, positive=1,
     lookup, and the group's rank by the percentage of ``positive`` (descending, ties by
     group key).  Groups without a positive row get a NULL rank (sorted last).
 
-    The lookup is a dimension table; it is broadcast only after its size is checked."""
-    counts = df.groupBy(group, label).agg(F.count(F.lit(1)).alias("Conteo"))
+    The counts are written once, so the rows are read once.  Up to ``RANK_GROUPS`` groups are
+    ranked by one window; more are ranked in range buckets.  A NULL group is a group of its
+    own.  The lookup is a dimension table; it is broadcast only after its size is checked."""
+    counts = cut_lineage(df.groupBy(group, label).agg(F.count(F.lit(1)).alias("Conteo")))
     shares = share_within(counts, [group], "Conteo", "Prop", 100.0)
-    # Ranking runs over one row per group (the positive rows): bounded by the group count.
-    pos = (shares.where(F.col(label) == F.lit(positive))
-           .select(group, F.row_number().over(Window.orderBy(F.desc("Prop"), F.asc(group)))
-                   .alias("ord")))
-    out = shares.join(pos, on=group, how="left")
+    pos = shares.where(F.col(label) == F.lit(positive))
+    if counts.where(F.col(label) == F.lit(positive)).count() <= RANK_GROUPS:
+        pos = pos.select(group, F.row_number().over(Window.orderBy(F.desc("Prop"), F.asc(group))).alias("ord"))
+    else:
+        place = F.struct((-F.col("Prop")).alias("share"), F.col(group).alias("key"))
+        pos = prefix_counts(pos.select(place.alias("value"), F.lit(1).alias("cnt")), []).select(
+            F.col("value.key").alias(group), F.col("cum").cast("int").alias("ord"))
+    out = null_safe(shares, pos, [group], "left")
     if lookup is not None:
         key = lookup_key or group
         dim = lookup.select(F.col(key).alias(group), F.col(name_col))
@@ -86,9 +96,9 @@ def kde(df: DataFrame, x: str, groups: Sequence[str] = (), n_grid: int = 512,
     Rows are reduced to ``n_grid`` linearly binned masses per group over
     [min - 4 bw, max + 4 bw] (a partitioned aggregation), and each grid value sums the
     kernel over those masses (``n_grid`` x ``n_grid`` terms per group, independent of the
-    row count).  With ``log10`` the density is of log10(x), positive x only."""
-    from hhlens.operators.ordered import exact_quantiles
-
+    row count).  With ``log10`` the density is of log10(x), positive x only.  A NULL group is
+    a group of its own.  The groups' bandwidths are written and counted first; they are
+    broadcast up to ``BROADCAST_ROWS`` groups and joined by a shuffle beyond."""
     groups = list(groups)
     src = df.select(*groups, F.col(x).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     if log10:
@@ -99,16 +109,18 @@ def kde(df: DataFrame, x: str, groups: Sequence[str] = (), n_grid: int = 512,
     mom = src.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"))
     rng = src.agg(F.min("_x").alias("_from"), F.max("_x").alias("_to")).first()
     lo_all, hi_all = rng["_from"], rng["_to"]
-    stats = (mom.join(qw, on=groups, how="inner") if groups else
+    stats = (null_safe(mom, qw, groups) if groups else
              mom.withColumn("_k", F.lit(1)).join(qw.withColumn("_k", F.lit(1)), "_k").drop("_k"))
     stats = (stats.withColumn("_bw", _bw_nrd0(F.col("_sd"), F.col("_q1"), F.col("_q3"), F.col("_n")))
              .withColumn("_lo", F.lit(lo_all) - F.lit(4.0) * F.col("_bw"))
              .withColumn("_delta", ((F.lit(hi_all) + F.lit(4.0) * F.col("_bw")) - F.col("_lo"))
                          / F.lit(float(n_grid - 1))))
-    st = F.broadcast(stats.select(*groups, "_n", "_bw", "_lo", "_delta"))   # one row per group
+    st = cut_lineage(stats.select(*groups, "_n", "_bw", "_lo", "_delta"))   # one row per group
+    if st.count() <= BROADCAST_ROWS:
+        st = F.broadcast(st)
     pos = (F.col("_x") - F.col("_lo")) / F.col("_delta")
     if groups:
-        binned = src.join(st, on=groups)
+        binned = null_safe(src, st, groups)
     else:
         binned = src.withColumn("_k", F.lit(1)).join(st.withColumn("_k", F.lit(1)), "_k").drop("_k")
     binned = (binned.withColumn("_ix", F.floor(pos).cast("int"))

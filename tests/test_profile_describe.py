@@ -58,6 +58,30 @@ def test_department_without_positives_sorted_last(spark):
     assert out[(1, 1)]["Prop_label"] == "50%" and out[(3, 1)]["Prop_label"] == "100%"
 
 
+def test_many_groups_rank_like_few(spark, monkeypatch):
+    rows = [(g, int(i < g % 5)) for g in range(1, 60) for i in range(6)] + [(None, 1), (None, 0)]
+    df = spark.createDataFrame(rows, "Depto int, Pobre int")
+    key = lambda r: (r["Depto"] is None, r["Depto"] or 0, r["Pobre"])
+    one = sorted(describe.ordered_group_shares(df, "Depto", "Pobre").collect(), key=key)
+    monkeypatch.setattr(describe, "RANK_GROUPS", 5)
+    many = sorted(describe.ordered_group_shares(df, "Depto", "Pobre").collect(), key=key)
+    assert one == many
+    ranked = {r["ord"] for r in one if r["Pobre"] == 1}
+    assert ranked == set(range(1, len(ranked) + 1)) and any(r["Depto"] is None and r["ord"] for r in one)
+
+
+def test_density_without_broadcast_and_with_a_null_group(spark, monkeypatch):
+    rows = [(g, float(10 + (7 * i) % 23)) for i in range(80) for g in ("a", "b", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    get = lambda: {(r["g"], r["i"]): r["density"] for r in describe.kde(df, "x", ["g"], 16).collect()}
+    small = get()
+    monkeypatch.setattr(describe, "BROADCAST_ROWS", 0)
+    large = get()
+    assert small.keys() == large.keys() and len(small) == 48
+    assert all(abs(small[k] - large[k]) < 1e-12 for k in small)
+    assert all(abs(small[None, i] - small["a", i]) < 1e-12 for i in range(16))
+
+
 def test_log10_density_drops_non_positive(spark):
     df = spark.createDataFrame([(0.0,), (-5.0,), (10.0,), (100.0,), (1000.0,)], "x double")
     k = describe.kde(df, "x", n_grid=16, log10=True).orderBy("i").collect()
