@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -36,9 +39,25 @@ def build_session(master: str | None = None, app: str = "hhlens",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark.sparkContext)
     return spark
 
 
+def ship_package(sc: SparkContext) -> None:
+    """Sends this package's code to the executors, so that task code which refers to it runs on
+    workers whose Python path lacks it.  Once per application; call it for a session that
+    ``build_session`` did not make."""
+    home = Path(__file__).resolve().parent
+    name = f"{home.name}-{sc.applicationId}.zip"
+    if any(f.rsplit("/", 1)[-1] == name for f in sc.listFiles):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="hhlens-code-"), name)      # read by the driver only
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(home.rglob("*.py")):
+            z.write(f, f"{home.name}/{f.relative_to(home)}")
+    sc.addPyFile(path)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
