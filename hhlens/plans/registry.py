@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hhlens.functions.recode import add_dummies, dummy_levels, threshold
-from hhlens.operators import describe, evaluate, heavy, linear_tuning, models, ordered, profile, sampling
+from hhlens.operators import describe, evaluate, heavy, linear_tuning, models, ordered, profile, rollup, sampling
 from hhlens.plans import households as hh
 from hhlens.plans import specs
 from hhlens.plans.common import rounded
@@ -639,6 +639,44 @@ def prediction_sink(spark, sf):
     return io.read_predictions(spark, path)
 
 
+def sink_confirmation(spark, sf):
+    """Predictions written and confirmed from what is read back: rows written, poor among them,
+    whether the sink is confirmed, and whether it is refused against a table with a row more."""
+    coefs, b0 = SCORER_A
+    pred = hogares_full(spark, sf, "test").select(
+        "id", threshold(models.linear_score(coefs, b0), specs.THRESHOLD).alias("pobre"))
+    path = io.write_predictions(pred, io.scratch(spark, "confirmed"))
+    more = pred.unionByName(spark.range(1).select((-F.col("id") - 1).alias("id"), F.lit(1).alias("pobre")))
+    ok, refused = io.confirm_sink(spark, path, pred), not io.confirm_sink(spark, path, more)
+    return io.read_predictions(spark, path).agg(
+        F.count("id").alias("n_rows"), F.sum("pobre").cast("long").alias("n_poor")).select(
+        "*", F.lit(ok).alias("confirmed"), F.lit(refused).alias("refused"))
+
+
+def column_search(spark, sf):
+    """Person columns whose name a pattern finds (the survey's search for P6100 and P6920, and
+    the codes of block 75), with their known values, levels and total; one wide pass."""
+    p = fx.personas(spark, sf)
+    found = [(pattern, c) for pattern in ("P6100|P6920", "^P75\\d\\d") for c in profile.columns_matching(p, pattern)]
+    cols = sorted({c for _, c in found})
+    sums = p.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in
+                   (("k", F.count), ("d", F.count_distinct), ("s", lambda x: F.sum(F.col(x).cast("long"))))])
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(pattern).alias("pattern"), F.lit(c).alias("variable"), F.col(f"k_{c}").alias("n_known"),
+                 F.col(f"d_{c}").alias("n_levels"), F.col(f"s_{c}").alias("total")) for pattern, c in found])))
+
+
+def reduce_joins(spark, sf):
+    """Test households left-joined with a list of per-household person tables, one by one
+    (``Reduce`` over ``merge(all.x = TRUE)``), every table checked to have one row per key."""
+    p = fx.personas(spark, sf)
+    tables = [p.groupBy("id").agg(F.count(F.lit(1)).alias("n_persons")),
+              p.where("P6920 = 1").groupBy("id").agg(F.count(F.lit(1)).alias("n_pension")),
+              p.where("P6040 < 18").groupBy("id").agg(F.max("P6040").alias("oldest_minor")),
+              p.where("P6100 IS NULL").groupBy("id").agg(F.min("P6040").alias("youngest_uncovered"))]
+    return rollup.left_join_all(hogares_full(spark, sf, "test").select("id", "Nper"), tables, "id")
+
+
 def csv_scan(spark, sf):
     """CSV round trip of the test households with an explicit schema."""
     h = fx.hogares(spark, sf, "test")

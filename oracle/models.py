@@ -153,5 +153,11 @@ def prediction_sink() -> str:
     return full_cte("test") + f"\nSELECT id, CASE WHEN {s} > 0.5 THEN 1 ELSE 0 END AS pobre FROM hogares_full"
 
 
+def sink_confirmation() -> str:
+    s = linear_score_sql(*SCORER_A)
+    return full_cte("test") + (f"\nSELECT count(*) AS n_rows, CAST(sum(CASE WHEN {s} > 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS n_poor, "
+                               "true AS confirmed, true AS refused FROM hogares_full")
+
+
 def preview_predictions() -> str:
     return prediction_sink() + " ORDER BY id LIMIT 6"

@@ -110,3 +110,20 @@ def factor_top_levels_sql(top: int = 5) -> str:
     return cte("personas") + ",\nlv AS (" + "\nUNION ALL ".join(parts) + f""")
 SELECT variable, CAST(rank AS INT) AS rank, level, n FROM (
   SELECT *, row_number() OVER (PARTITION BY variable ORDER BY n DESC, level) AS rank FROM lv) t WHERE rank <= {top}"""
+
+
+def column_search_sql() -> str:
+    named = [("P6100|P6920", c) for c in ("P6100", "P6920")] + [("^P75\\d\\d", c) for c in ("P7505", "P7510s3")]
+    parts = [f"SELECT '{pattern}' AS pattern, '{c}' AS variable, count({c}) AS n_known, count(DISTINCT {c}) AS n_levels, "
+             f"CAST(sum({c}) AS BIGINT) AS total FROM personas" for pattern, c in named]
+    return cte("personas") + "\n" + "\nUNION ALL ".join(parts)
+
+
+def reduce_joins_sql() -> str:
+    # One pass of conditional aggregates instead of a join per table.
+    return full_cte("test") + """,
+per AS (SELECT id, count(*) AS n_persons, count(*) FILTER (WHERE P6920 = 1) AS pension,
+  max(P6040) FILTER (WHERE P6040 < 18) AS oldest_minor, min(P6040) FILTER (WHERE P6100 IS NULL) AS youngest_uncovered
+  FROM personas GROUP BY id)
+SELECT h.id, h.Nper, per.n_persons, nullif(per.pension, 0) AS n_pension, per.oldest_minor, per.youngest_uncovered
+FROM hogares_full h LEFT JOIN per ON per.id = h.id"""
