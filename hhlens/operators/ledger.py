@@ -15,7 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +48,19 @@ class FitLedger:
             build().write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def tables(self, wanted: Mapping, parallelism: int = 4) -> dict:
+        """``table`` of every (name, build), made on ``parallelism`` driver threads: many short
+        jobs of one table leave room for those of another.  The first error is raised."""
+        sc = self.spark.sparkContext
+
+        def one(item: tuple) -> DataFrame:
+            at, (name, build) = item
+            sc.setLocalProperty("spark.scheduler.pool", f"fit-{at % max(1, parallelism)}")
+            return self.table(name, build)
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            return dict(zip(wanted, pool.map(one, enumerate(wanted.values()))))
+
     def _partition(self, fold, candidate) -> str:
         return f"{self.path}/scores/fold={fold}/candidate={candidate}"
 
