@@ -5,6 +5,8 @@ import threading
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from hhlens.operators import models
 
 
@@ -43,3 +45,16 @@ def test_an_error_in_a_training_part_is_raised(spark):
 
     with pytest.raises(ValueError, match="no part"):
         models.cross_validate(_rows(spark), ["a"], "y", "fold", [{"reg": 0.1}], None, resample=resample)
+
+
+def test_the_refits_part_is_made_beside_those_of_the_folds(spark):
+    meet = threading.Barrier(3, timeout=60)                  # two folds and all rows
+
+    def resample(part, fold):
+        meet.wait()
+        own = part.select("id", "y", "a", "b")
+        return own.unionByName(own.limit(5).withColumn("id", -F.col("id") - 1).coalesce(1))
+
+    cv = models.cross_validate(_rows(spark, 4000), ["a", "b"], "y", "fold", [{"reg": 0.1}],
+                               lambda part, reg: models.fit_logistic(part, ["a", "b"], "y", reg), resample=resample, whole=True)
+    assert cv.whole.count() == 4005 and cv.whole.select("id").distinct().count() == 4005
