@@ -5,6 +5,9 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
+from conftest import SF001
 from hhlens.session import ship_package
 
 ROOT = str(Path(__file__).resolve().parent.parent)
@@ -33,3 +36,24 @@ def test_the_package_is_sent_once(spark):
     ship_package(spark.sparkContext)
     assert list(spark.sparkContext.listFiles) == before
     assert sum("hhlens-" in f.rsplit("/", 1)[-1] for f in before) == 1
+
+
+def test_a_stored_tables_shuffles_grow_with_its_input(spark, monkeypatch):
+    from hhlens.plans import registry
+
+    own, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+
+    def build():
+        seen.append(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        if len(seen) == 2:
+            raise ValueError("no table")
+        return spark.range(3)
+
+    monkeypatch.setattr(registry, "_inputs", lambda *_: (("a", 1000, 0), ("b", 501, 0)))
+    monkeypatch.setattr(registry, "INPUT_BYTES", 50)
+    assert registry._stored(spark, SF001, "grown", build).count() == 3
+    with pytest.raises(ValueError, match="no table"):
+        registry._stored(spark, SF001, "failed", build)
+    monkeypatch.setattr(registry, "INPUT_BYTES", 1 << 20)
+    registry._stored(spark, SF001, "small", build)
+    assert seen == [31, 31, int(own)] and spark.conf.get("spark.sql.shuffle.partitions") == own
