@@ -228,6 +228,28 @@ def test_tree_neighbours_are_exact(spark, monkeypatch, name):
     assert neighbors.knn_exact(df.where("false"), "id", cols, 4).count() == 0
 
 
+def test_visits_grow_no_faster_than_the_vectors(spark):
+    rng, cols, per_vector = np.random.default_rng(4), [f"f{j}" for j in range(6)], []
+    for n in (1_500, 24_000):
+        df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rng.random((n, 6)))],
+                                   "id long, " + ", ".join(f"{c} double" for c in cols))
+        report = {}
+        assert neighbors.knn_exact(df, "id", cols, 4, 25, report).count() == 4 * n
+        per_vector.append(report["visits"] / n)
+    assert per_vector[1] < 1.3 * per_vector[0]
+
+
+def test_refs_within_a_limit_equal_the_plain_search():
+    rng = np.random.default_rng(5)
+    x, ids = 20_000 + rng.integers(0, 6, (700, 4)).astype(float), rng.permutation(700)
+    q, n, d = neighbors._nearest(x, ids, x, 5)
+    last = d.reshape(-1, 5)[:, -1]
+    for limit in (last, np.full(700, np.inf)):
+        got = neighbors._within(x, ids, x, limit, 5)
+        assert all(np.array_equal(a, b) for a, b in zip(got, (q, n, d)))
+    assert not len(neighbors._within(x, ids, x + 100, last, 5)[0])
+
+
 def test_copies_are_limited_before_the_exchange(spark):
     df = spark.createDataFrame([(i, 1.0) for i in range(50)], "id long, x double")
     first = neighbors.Window.partitionBy("x").orderBy("id")
