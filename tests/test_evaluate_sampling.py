@@ -91,3 +91,18 @@ def test_smote_balances_and_interpolates(spark):
     s = syn.agg(F.min("a"), F.max("a")).first()
     assert lo[0] <= s[0] and s[1] <= lo[1]
     assert syn.exceptAll(sampling.smote(df, "y", ["a", "b"], "id", 1, k=3, seed=1)).count() == 0
+
+
+def test_smote_copies_meet_one_join(spark):
+    df = spark.createDataFrame([(i, int(i % 5 == 0), float(i % 7), float(i % 11)) for i in range(60)],
+                               "id long, y int, a double, b double")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = sampling.smote(df, "y", ["a", "b"], k=3)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 36
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # What stands above the explosion of the base rows moves the copies.
+    assert plan[:plan.rfind("Generate explode")].count("SortMergeJoin") == 1
