@@ -1,13 +1,15 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from hhlens.llm import exact_dedup, simhash, suffix_dedup
+from hhlens.llm import common, exact_dedup, simhash, suffix_dedup
 from hhlens.llm.components import connected_components
 
 
@@ -206,3 +208,59 @@ def test_suffix_order_is_the_true_order():
                 x, y = t[got[k - 1]:], t[got[k]:]
                 n = next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
                 assert min(lcp[k], len(x), len(y)) == min(n, 40)
+
+
+class Task:
+    """Stands for a table whose function is called here."""
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        out = work()
+        return out, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_suffix_runs_hold_a_small_part_of_the_text():
+    rng = np.random.default_rng(9)
+    texts = [rng.integers(97, 123, n, np.uint8).tobytes() for n in [2000] * 1500 + [1_500_000, 300]]
+    batch = pa.RecordBatch.from_arrays([pa.array([b"%16d" % i for i in range(len(texts))], pa.binary()),
+                                        pa.array(texts, pa.binary())], names=["tid", "body"])
+    run = suffix_dedup.runs(Task())
+    windows, mb = peak_mb(lambda: sum(sum(b.column(4).to_pylist()) for b in run(iter([batch]))))
+    assert windows == sum(max(0, len(t) - 399) for t in texts)
+    assert mb < 60
+
+
+def test_suffix_block_of_runs_seen_twice_stays_small():
+    rng = np.random.default_rng(10)
+    strings = [(rng.integers(97, 101, 660, np.uint8).tobytes(), 261, True) for _ in range(400)]
+    part = strings[7][0][:500]
+    strings += [(part, 101, False), (bytes(660), 261, False)]
+    hits, mb = peak_mb(lambda: suffix_dedup.repeated_windows(strings, 400))
+    assert all(h.all() for h in hits[:-1])  # part lies in a run that is seen twice
+    assert hits[-1].tolist() == [True] * 261  # equal windows inside one run
+    assert mb < 45
+
+
+def test_suffix_batches_are_bounded_by_bytes(spark, docs_df, monkeypatch):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own, seen, real = spark.conf.get(name), [], suffix_dedup.runs
+    monkeypatch.setattr(suffix_dedup, "runs", lambda *a: seen.append(spark.conf.get(name)) or real(*a))
+    texts = ["".join(random.Random(i % 3).choices("abcd", k=500)) for i in range(4)]
+    assert run_suffix(docs_df(list(enumerate(texts))), texts, 40, 12) == brute(texts, 40)
+    assert seen == [str(suffix_dedup.BATCH)] and spark.conf.get(name) == own
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    rows = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 1000) AS body")
+    with common.arrow_batches(spark, 1 << 18):
+        small = rows.mapInArrow(sizes, "n long").collect()
+    assert sum(r.n for r in small) == 3000 and max(r.n for r in small) < 400
