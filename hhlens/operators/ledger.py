@@ -41,10 +41,13 @@ class FitLedger:
         fs, p = self._fs(f"{path}/_SUCCESS")
         return fs.exists(p)
 
+    def has(self, name: str) -> bool:
+        return self._complete(f"{self.path}/{name}")
+
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A table made once per ledger."""
         path = f"{self.path}/{name}"
-        if not self._complete(path):
+        if not self.has(name):
             build().write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 

@@ -111,3 +111,49 @@ def test_split_points():
     assert len(p) == 31 and np.all(np.diff(p) > 0) and abs(p[0] - 31) < 1.5
     hot = forest.split_points(np.r_[np.zeros(10_000), np.arange(1, 100.0)], 32)
     assert hot[0] == 0.5 and len(hot) == 31
+
+
+@pytest.mark.parametrize("how", ["spread", "hot", "few"])
+def test_one_search_answers_for_every_training_part(spark, how):
+    from hhlens.operators.neighbors import knn_exact, knn_folds
+
+    rng = np.random.default_rng(11)
+    n = {"spread": 2500, "hot": 900, "few": 9}[how]
+    x = rng.normal(size=(n, 3)).round(1 if how == "spread" else 0)
+    fold = rng.permutation(np.arange(n) % 3)
+    df = spark.createDataFrame([(int(7 * i - 50), int(f) + 4, *map(float, r)) for i, (f, r) in enumerate(zip(fold, x))],
+                               "id bigint, fold int, a double, b double, c double")
+    got = knn_folds(df, "id", ["a", "b", "c"], "fold", [4, 5, 6], 5, 40)
+    for f in (None, 4, 5, 6):
+        part = df if f is None else df.where(F.col("fold") != f)
+        rows = lambda d: sorted((r.id, r.nn_rank, r.nn_key, r.d2) for r in d.collect())
+        assert rows(got[f]) == rows(knn_exact(part, "id", ["a", "b", "c"], 5))
+
+
+def test_a_fold_that_holds_all_near_rows_is_searched_apart(spark):
+    from hhlens.operators.neighbors import knn_folds
+
+    df = spark.range(200).selectExpr("id", "if(id < 100 AND id <> 50, 0, 1) AS fold", "double(id) AS a")   # all near row 50 are of fold 0
+    assert knn_folds(df, "id", ["a"], "fold", [0, 1], 5) is None
+    wide = df.selectExpr("id", "id % 2 AS fold", "a")
+    assert knn_folds(wide, "id", ["a"], "fold", [0, 1], 5) is not None
+    assert knn_folds(wide.selectExpr("if(id = 3, NULL, id) AS id", "fold", "a"), "id", ["a"], "fold", [0, 1], 5) is None
+
+
+def test_the_folds_smote_rows_come_from_one_search(spark, monkeypatch):
+    from hhlens.operators import neighbors, sampling
+
+    rng = np.random.default_rng(2)
+    d = spark.createDataFrame([(i, int(rng.random() < 0.3), i % 3, *map(float, rng.normal(size=3))) for i in range(600)],
+                              "id bigint, y int, fold int, a double, b double, c double")
+    made, own = [], neighbors._candidates
+    monkeypatch.setattr(neighbors, "_candidates", lambda *a: made.append(1) or own(*a))
+    cv = models.cross_validate(d, X[:3], "y", "fold", [{"reg": 0.1}], lambda part, reg: models.fit_logistic(part, X[:3], "y", reg),
+                               resample=models.smote_part(X[:3], "y", k=3, seed=9), whole=True)
+    assert len(made) == 1
+    rows = lambda df: sorted(map(tuple, df.select("id", "y", *X[:3]).collect()))
+    for f, part in (("all", d), *[(f, d.where(F.col("fold") != f)) for f in range(3)]):
+        name = "train/all" if f == "all" else f"train/fold={f}"
+        part = part.select("id", "y", *X[:3])
+        want = part.unionByName(sampling.smote(part, "y", X[:3], "id", 1, k=3, seed=f"9|{f}"))
+        assert rows(cv.ledger.table(name, None)) == rows(want)
