@@ -113,16 +113,18 @@ def test_split_points():
     assert hot[0] == 0.5 and len(hot) == 31
 
 
-@pytest.mark.parametrize("how", ["spread", "hot", "few"])
+@pytest.mark.parametrize("how", ["hot", "few", "twice"])
 def test_one_search_answers_for_every_training_part(spark, how):
     from hhlens.operators.neighbors import knn_exact, knn_folds
 
     rng = np.random.default_rng(11)
-    n = {"spread": 2500, "hot": 900, "few": 9}[how]
-    x = rng.normal(size=(n, 3)).round(1 if how == "spread" else 0)
+    n = {"hot": 900, "few": 9, "twice": 1500}[how]
+    x = rng.normal(size=(n, 3)).round(1 if how == "twice" else 0)
     fold = rng.permutation(np.arange(n) % 3)
-    df = spark.createDataFrame([(int(7 * i - 50), int(f) + 4, *map(float, r)) for i, (f, r) in enumerate(zip(fold, x))],
-                               "id bigint, fold int, a double, b double, c double")
+    data = [(int(7 * i - 50), int(f) + 4, *map(float, r)) for i, (f, r) in enumerate(zip(fold, x))]
+    if how == "twice":                          # keys that are there twice, mostly in two folds
+        data += [(i, (f + j) % 3 + 4, *r) for j, (i, f, *r) in enumerate(data[::4])]
+    df = spark.createDataFrame(data, "id bigint, fold int, a double, b double, c double")
     got = knn_folds(df, "id", ["a", "b", "c"], "fold", [4, 5, 6], 5, 40)
     for f in (None, 4, 5, 6):
         part = df if f is None else df.where(F.col("fold") != f)
